@@ -51,3 +51,19 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = measured(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_kept_words")
+
+
+@query("op10_licenses")
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+@query("op6_url_filter")
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import judge, outcomes_of
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge(pages, outcomes_of(pages, table(spark, sf_dir, "labels")), keep=["page_id"])
