@@ -67,3 +67,19 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge(pages, outcomes_of(pages, table(spark, sf_dir, "labels")), keep=["page_id"])
+
+
+@query("op4_sharding")
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import assign
+
+    found = assign(table(spark, sf_dir, "documents"), 8)
+    return found.select("doc_id", "size", F.coalesce("text_crc32", F.lit(0).cast("long")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import grouped
+
+    found = grouped(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
