@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
+import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,3 +29,59 @@ def materialised(df: DataFrame) -> DataFrame:
     """The rows, computed once and read from the shared folder from then on."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class Folder:
+    """A folder of array files below the shared one: written and read by tasks, each file whole or not at all."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        base = shared_dir(spark)
+        self.uri = f"{base if '://' in base or base.startswith('file:') else 'file://' + base}/{name}-{uuid.uuid4().hex}".replace("file:///", "file:/").replace("file:/", "file:///")
+        atexit.register(self.delete)
+
+    def _fs(self):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.uri)
+
+    def __getstate__(self):
+        return {"uri": self.uri}
+
+    def write(self, name: str, *arrays: np.ndarray) -> None:
+        """A task that runs again writes the same file again."""
+        fs, path = self._fs()
+        fs.create_dir(path, recursive=True)
+        own = f"{path}/.{name}-{uuid.uuid4().hex}"
+        with fs.open_output_stream(own) as f:
+            f.write(np.array([len(arrays), *(len(a) for a in arrays)], "<i8").tobytes())
+            for a in arrays:
+                f.write(memoryview(np.ascontiguousarray(a)).cast("B") if len(a) else b"")
+        fs.move(own, f"{path}/{name}")
+
+    def read(self, name: str, *types: str) -> list[np.ndarray]:
+        """The arrays of a file, memory-mapped; from a store that can't be mapped they are first copied to the task's own temporary folder."""
+        from pyarrow import fs as kinds
+
+        fs, path = self._fs()
+        file = f"{path}/{name}"
+        if not isinstance(fs, kinds.LocalFileSystem):
+            with tempfile.NamedTemporaryFile() as own:
+                with fs.open_input_stream(file) as f:
+                    shutil.copyfileobj(f, own)
+                own.flush()
+                return self._mapped(own.name, types)  # the mapping outlives the name
+        return self._mapped(file, types)
+
+    @staticmethod
+    def _mapped(file: str, types: tuple[str, ...]) -> list[np.ndarray]:
+        lengths = np.fromfile(file, "<i8", 1 + len(types))[1:].tolist()
+        out, at = [], 8 * (1 + len(types))
+        for kind, n in zip(types, lengths):
+            out.append(np.memmap(file, kind, "r", at, (n,)) if n else np.empty(0, kind))
+            at += n * np.dtype(kind).itemsize
+        return out
+
+    def delete(self) -> None:
+        fs, path = self._fs()
+        with contextlib.suppress(OSError):
+            fs.delete_dir(path)
