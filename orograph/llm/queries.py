@@ -106,3 +106,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = marked(docs, carry=[F.col("doc_id"), F.size(space_words(F.col("text"))).cast("long").alias("n_words")])
     n_cut = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_words", n_cut.alias("n_cut"), F.size("spans").cast("long").alias("n_runs"), "spans")
+
+
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .weak_labels import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
