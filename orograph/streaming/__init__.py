@@ -1,0 +1 @@
+"""Terrain analysis has no streams: every operator is a batch DataFrame transformation."""
