@@ -13,15 +13,17 @@ def half_width(k: int) -> int:
     return (max(3, k) | 1) // 2
 
 
-def moments(cells: DataFrame, halves: dict[str, int], value: str = "z", center: Column | None = None) -> DataFrame:
+def moments(cells: DataFrame, halves: dict[str, int], value: str = "z", center: Column | None = None, wide: bool = False) -> DataFrame:
     """cells and n_<label>, s_<label>, q_<label>: count, sum and sum of squares of the values in the (2h+1)-wide square around each cell.
 
     cells must be dense. Windows end at the grid's edge and leave nulls out. Running sums along rows, then along columns, are taken at
-    both ends of the window: two shuffles and two sorts for all labels, whatever their widths. Whole-number values are summed exactly."""
+    both ends of the window: two shuffles and two sorts for all labels, whatever their widths. Whole-number values are summed exactly;
+    wide: squares as decimals, for values up to 1e14."""
     exact = cells.schema[value].dataType.typeName() in ("byte", "short", "integer", "long")
     z = F.col(value).cast("long" if exact else "double")
     z = z if center is None or exact else z - center
-    parts = {"n": z.isNotNull().cast("long"), "s": F.coalesce(z, F.lit(0)), "q": F.coalesce(z * z, F.lit(0))}
+    square = (z.cast("decimal(14,0)") * z.cast("decimal(14,0)")).cast("decimal(28,0)") if wide and exact else z * z
+    parts = {"n": z.isNotNull().cast("long"), "s": F.coalesce(z, F.lit(0)), "q": F.coalesce(square, F.lit(0))}
     now = cells.withColumns({f"_{m}": x for m, x in parts.items()})
     sources = {m: {label: f"_{m}" for label in halves} for m in parts}
     for axis, along in (("r", "c"), ("c", "r")):
@@ -42,7 +44,7 @@ def moments(cells: DataFrame, halves: dict[str, int], value: str = "z", center:
 
 def deviation(n: Column, s: Column, q: Column, z: Column, wide: bool = False) -> Column:
     """(z - mean) / population standard deviation; null without a value, 0 without spread. wide: products as decimals, for sums whose squares pass 2**63."""
-    kind = (lambda x: x.cast("decimal(19,0)")) if wide else (lambda x: x)
+    kind = (lambda x: x.cast("decimal(38,0)")) if wide else (lambda x: x)
     spread = kind(n) * kind(q) - kind(s) * kind(s)
     return F.when(z.isNull(), F.lit(None).cast("double")).when(spread <= 0, F.lit(0.0)).otherwise((n * z - s).cast("double") / F.sqrt(spread.cast("double")))
 
@@ -50,15 +52,16 @@ def deviation(n: Column, s: Column, q: Column, z: Column, wide: bool = False) ->
 def dev(cells: DataFrame, halves: dict[str, int], value: str = "z", center: float | None = None, most: int | None = None) -> DataFrame:
     """cells and dev_<label> for each half width.
 
-    most: a bound of |value| for whole numbers. Where n² · most² may pass 2**63, or no bound is known, products are decimals. Other numbers are doubles, less
+    most: a bound of |value| for whole numbers. Where sums of squares of 2**30 cells or n² · most² may pass 2**63, or no bound is known, they are decimals. Other numbers are doubles, less
     `center` (default: their mean, asked beforehand), which keeps differences of large sums accurate."""
     exact = cells.schema[value].dataType.typeName() in ("byte", "short", "integer", "long")
     if not exact and center is None:
         center = cells.agg(F.avg(value)).first()[0] or 0.0
     shift = None if exact else F.lit(float(center))
-    found = moments(cells, halves, value, shift)
+    large = exact and (most is None or most * most >= 1 << 33)
+    found = moments(cells, halves, value, shift, large)
     z = F.col(value).cast("long") if exact else F.col(value).cast("double") - shift
-    wide = {x: exact and (most is None or ((2 * h + 1) ** 2 * most) ** 2 >= 1 << 63) for x, h in halves.items()}
+    wide = {x: large or exact and ((2 * h + 1) ** 2 * most) ** 2 >= 1 << 63 for x, h in halves.items()}
     found = found.withColumns({f"dev_{x}": deviation(F.col(f"n_{x}"), F.col(f"s_{x}"), F.col(f"q_{x}"), z, wide[x]) for x in halves})
     return found.drop(*(f"{m}_{x}" for m in "nsq" for x in halves))
 

@@ -21,14 +21,15 @@ def target_grid(west: float, south: float, east: float, north: float, epsg: int,
 
 def taps(u: Column, method: str) -> tuple[Column, list[Column]]:
     """First source cell and the weights of the cells from there on, for a position in cells (a cell's middle is at its number and a half)."""
+    if method not in ("near", "bilinear", "cubic"):
+        raise ValueError(f"resampling is near, bilinear or cubic, not {method}")
     if method == "near":
         return F.floor(u).cast("int"), [F.lit(1.0)]
     first, t = F.floor(u - 0.5).cast("int"), u - 0.5 - F.floor(u - 0.5)
     if method == "bilinear":
         return first, [1 - t, t]
-    if method == "cubic":  # Keys' kernel, a = -1/2
-        return first - 1, [((2 - t) * t - 1) * t / 2, ((3 * t - 5) * t * t + 2) / 2, ((4 - 3 * t) * t + 1) * t / 2, (t - 1) * t * t / 2]
-    raise ValueError(f"resampling is near, bilinear or cubic, not {method}")
+    # Keys' kernel, a = -1/2
+    return first - 1, [((2 - t) * t - 1) * t / 2, ((3 * t - 5) * t * t + 2) / 2, ((4 - 3 * t) * t + 1) * t / 2, (t - 1) * t * t / 2]
 
 
 def resampled(source: DataFrame, target: DataFrame, method: str = "cubic", value: str = "z") -> DataFrame:
