@@ -18,9 +18,20 @@ from .words import LOWER, map_texts, words
 TILE = 2048
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """Bit b is set if more than half of the shingles' hashes have it; shingles are runs of words joined by a blank, repeats included."""
-    ones, n, tail = np.zeros(64, np.int64), 0, []
+def spread(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """hashes[n, parts]: the hashes themselves, then each part mixed from the one before."""
+    out = [hashes]
+    for _ in range(parts - 1):
+        h = out[-1] + np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append(h ^ (h >> np.uint64(31)))
+    return np.stack(out, axis=1)
+
+
+def fingerprint(text: bytes, shingle: int, parts: int = 1) -> np.ndarray:
+    """Bit b is set if more than half of the shingles' hashes (of 64 bits times parts) have it; shingles are runs of words joined by a blank, repeats included."""
+    ones, n, tail = np.zeros(64 * parts, np.int64), 0, []
     for ws in words(text, LOWER):
         ws, tail = tail + ws, (tail + ws)[-(shingle - 1) :] if shingle > 1 else []
         if len(ws) < shingle:
@@ -29,24 +40,29 @@ def fingerprint(text: bytes, shingle: int) -> int:
         ends = np.cumsum(np.fromiter(map(len, ws), np.int64, len(ws)) + 1) - 1
         starts = np.concatenate([[0], ends[:-1] + 1])
         hashes = [xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts[: len(ws) - shingle + 1].tolist(), ends[shingle - 1 :].tolist())]
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        bits = np.unpackbits(spread(np.array(hashes, "<u8"), parts).view(np.uint8).reshape(-1, 8 * parts), axis=1, bitorder="little")
         ones += bits.sum(0, dtype=np.int64)
         n += len(hashes)
     if not n:
-        return xxhash.xxh64_intdigest(b" ".join(tail), 42) if tail else 0
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+        return spread(np.array([xxhash.xxh64_intdigest(b" ".join(tail), 42)], "<u8"), parts)[0] if tail else np.zeros(parts, "<u8")
+    return np.packbits(2 * ones > n, bitorder="little").view("<u8")
+
+
+def names(parts: int) -> list[str]:
+    return ["fingerprint", *(f"fingerprint_{i}" for i in range(2, parts + 1))]
 
 
-def fingerprints(docs: DataFrame, *, shingle: int = 3, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`keep` (default: all columns) and fingerprint (64 bits as a signed long). Null and empty texts have 0."""
+def fingerprints(docs: DataFrame, *, shingle: int = 3, parts: int = 1, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """`keep` (default: all columns) and fingerprint, for more parts fingerprint_2 and so on (64 bits each, as signed longs). Null and empty texts have 0."""
 
     def start():
-        def work(texts: list[bytes]) -> tuple:
-            return (np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64).tolist(),)
+        def work(texts: list[bytes]) -> list:
+            found = np.array([fingerprint(t, shingle, parts) for t in texts], "<u8").reshape(-1, parts).view(np.int64)
+            return [found[:, i].tolist() for i in range(parts)]
 
         return work
 
-    return map_texts(docs, text, [T.StructField("fingerprint", T.LongType(), False)], start, keep)
+    return map_texts(docs, text, [T.StructField(n, T.LongType(), False) for n in names(parts)], start, keep)
 
 
 def linked(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,26 +167,89 @@ def links(distinct: DataFrame, radius: int, *, tile: int = TILE) -> DataFrame:
     return tasks.select("task", "fp", "side").repartition(n, "task").sortWithinPartitions("task").mapInArrow(compare, schema)
 
 
-def grouped(docs: DataFrame, *, radius: int = 2, shingle: int = 3, doc: str = "doc_id", text: str = "text", more: list[F.Column] = ()) -> DataFrame:
+def tiled_links(nodes: DataFrame, columns: list[str], radius: int, *, tile: int = 1 << 16) -> DataFrame:
+    """(a, b) of nodes(node, columns) that connect all whose fingerprints over all columns differ in `radius` bits or fewer.
+
+    For radii too large for buckets. Nodes are put into tiles of about `tile` rows in order of their population counts; tile pairs whose counts
+    differ by more than the radius are skipped, every other pair of tiles is a task that compares all its rows. The number of comparisons
+    grows with the square of the nodes, and each row is sent to at most nodes / tile tasks."""
+    spark = nodes.sparkSession
+    pop = sum((F.bit_count(c) for c in columns[1:]), F.bit_count(columns[0])).cast("int")
+    counted = sorted((r.pop, r.n) for r in nodes.groupBy(pop.alias("pop")).agg(F.count("*").alias("n")).collect())
+    schema = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.LongType(), False)])
+    if not counted:
+        return spark.createDataFrame([], schema)
+    before, low, high, at = {}, {}, {}, 0
+    for p, n in counted:
+        before[p] = (at, n)
+        for t in range(at // tile, (at + n - 1) // tile + 1):
+            low[t], high[t] = min(low.get(t, p), p), max(high.get(t, p), p)
+        at += n
+    tiles = len(low)
+    first = [min(i for i in range(tiles) if high[i] >= low[t] - radius) for t in range(tiles)]
+    last = [max(i for i in range(tiles) if low[i] <= high[t] + radius) for t in range(tiles)]
+    start = F.create_map(*(F.lit(x) for p, (a, _) in before.items() for x in (p, a)))
+    size = F.create_map(*(F.lit(x) for p, (_, n) in before.items() for x in (p, n)))
+    own = F.floor((F.element_at(start, pop) + F.pmod(F.xxhash64(*columns), F.element_at(size, pop))) / tile).cast("int")
+    ends = [F.get(F.array(*map(F.lit, x)), F.col("t")) for x in (first, last)]
+    sent = nodes.select("node", *columns, own.alias("t")).select("*", F.explode(F.sequence(*ends)).alias("o"))
+    sent = sent.select((F.least("t", "o").cast("long") * tiles + F.greatest("t", "o")).alias("task"), "node", (F.col("t") == F.least("t", "o")).alias("left"), (F.col("t") == F.col("o")).alias("both"), *columns)
+
+    def near(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found, step = [], max(1, (1 << 18) // max(1, len(y)))
+        columns_of_y = [np.ascontiguousarray(y[:, c]) for c in range(y.shape[1])]
+        for r in range(0, len(x), step):
+            differ = sum(np.bitwise_count(x[r : r + step, c, None] ^ yc[None, :]).astype(np.uint16) for c, yc in enumerate(columns_of_y))
+            i, j = np.nonzero(differ <= radius)
+            if len(i):
+                found.append((i + r, j))
+        return (np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])) if found else (np.empty(0, np.int64),) * 2
+
+    def compare(batches):
+        import pyarrow as pa
+
+        from .kneser_ney import runs
+
+        for _, (node, left, both, *prints) in runs(batches):
+            f = np.stack(prints, axis=1).view(np.uint64)
+            left_rows, right_rows = np.nonzero(left | both)[0], np.nonzero(~left | both)[0]
+            i, j = near(f[left_rows], f[right_rows])
+            root = forest(len(node), left_rows[i], right_rows[j])
+            moved = np.nonzero(root != np.arange(len(node)))[0]
+            yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], names=["a", "b"])
+
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), tiles)
+    return sent.repartition(n, "task").sortWithinPartitions("task").mapInArrow(compare, schema)
+
+
+def grouped(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int = 1, doc: str = "doc_id", text: str = "text", more: list[F.Column] = ()) -> DataFrame:
     """doc, the columns of `more`, fingerprint and component_id (smallest doc reachable over links of at most `radius` differing bits) for each row.
 
+    One part of 64 bits and a small radius are compared within buckets, more parts or a radius above 6 in tiles of everything.
     Texts are read once; fingerprints, links and rounds of components are kept in the shared folder. Equal fingerprints are one node, so
     copies cost nothing beyond their row. Null docs belong to groups but name none, unless a group has nothing else (then null). Null and
     empty texts share fingerprint 0, which links like any other. Repeated rows stay. No rows: no rows."""
-    slim = materialised(fingerprints(docs.select(F.col(doc), F.col(text), *more), shingle=shingle, text=text, keep=None).drop(text))
-    nodes = slim.groupBy("fingerprint").agg(F.min(doc).alias("least"))
-    found = components(materialised(links(nodes.select(F.col("fingerprint").alias("fp")), radius)))
-    rooted = nodes.join(found.select(F.col("node").alias("fingerprint"), "root"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    columns = names(parts)
+    slim = materialised(fingerprints(docs.select(F.col(doc), F.col(text), *more), shingle=shingle, parts=parts, text=text).drop(text))
+    nodes = slim.groupBy(*columns).agg(F.min(doc).alias("least"))
+    if parts == 1 and radius <= 6:
+        nodes = nodes.withColumn("node", F.col("fingerprint"))
+        pairs = links(nodes.select(F.col("fingerprint").alias("fp")), radius)
+    else:
+        nodes = materialised(nodes.withColumn("node", F.monotonically_increasing_id()))
+        pairs = tiled_links(nodes, columns, radius)
+    found = components(materialised(pairs))
+    rooted = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = materialised(rooted.join(named, "root").select("fingerprint", "component_id"))
-    return slim.join(names, "fingerprint").select(*(c for c in slim.columns), "component_id")
+    known = materialised(rooted.join(named, "root").select(*columns, "component_id"))
+    return slim.join(known, columns).select(*slim.columns, "component_id")
 
 
-def one_of_each(docs: DataFrame, *, radius: int = 2, shingle: int = 3, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int = 1, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without near-copies: of each group one row stays, of the smallest doc (nulls last), then of the smallest text hash. Rows that agree in doc and text count as one."""
     # rows are found again by doc and text hash, null or not
     mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    found = grouped(docs, radius=radius, shingle=shingle, doc=doc, text=text, more=[mark.alias("_mark")])
+    found = grouped(docs, radius=radius, shingle=shingle, parts=parts, doc=doc, text=text, more=[mark.alias("_mark")])
     alone = F.col("component_id").isNull()
     first = found.groupBy("component_id", F.when(alone, F.col("fingerprint")).alias("_f")).agg(F.min(F.struct(F.col(doc).isNull().alias("no"), F.col(doc).alias("doc"), F.col("_mark").alias("mark"))).alias("m"))
     keys = first.select(F.coalesce(F.col("m.doc").cast("string"), F.lit("")).alias("_doc"), F.col("m.mark").alias("_mark"))
