@@ -19,8 +19,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies stays: five-word shingles, linked at 3 differing bits or fewer."""
-    return simhash.one_of_each(docs, shingle=5, radius=3)
+    """One document of each group of near-copies stays.
+
+    Five-word shingles, 128 bits, linked at 26 differing bits or fewer: texts that share 0.8 of their shingles (Jaccard) differ in 19.4 on average
+    with a deviation of 4.1, so 95 of 100 such pairs link directly; unrelated texts differ in 64."""
+    return simhash.one_of_each(docs, shingle=5, radius=26, parts=2)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
