@@ -21,7 +21,7 @@ SPANS = "array<struct<start:int,end:int>>"
 
 
 def minima(h: np.ndarray, w: int) -> np.ndarray:
-    """Places that hold the least hash of some w hashes in a row (of all, if they are fewer). Of a row of equal hashes every w-th counts."""
+    """Places that hold the least hash of some w hashes in a row (of all, if they are fewer). Of a row of equal hashes every w-th and the last count."""
     if not len(h):
         return np.empty(0, np.int64)
     w = min(w, len(h))
@@ -38,7 +38,7 @@ def minima(h: np.ndarray, w: int) -> np.ndarray:
     at = np.nonzero(top == h)[0]
     new = np.concatenate([[True], (h[at[1:]] != h[at[:-1]]) | (at[1:] != at[:-1] + 1)])
     begin = at[new][np.cumsum(new) - 1]
-    return at[(at - begin) % w == 0]
+    return at[((at - begin) % w == 0) | np.concatenate([new[1:], [True]])]
 
 
 def keyed(docs: DataFrame, doc: str, text: str) -> DataFrame:

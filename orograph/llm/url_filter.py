@@ -68,6 +68,7 @@ def reputations(outcomes: DataFrame, *, suffixes: tuple[str, ...] = SUFFIXES, le
     hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
     every = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     root = ((every.bad or 0) + 1) / ((every.n or 0) + 2)
+    most = max(least, min(most, (every.n or 0) + 2))  # no prior weighs more than all outcomes together
     of_suffix = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("parent", F.lit(root))
     of_suffix = shrunk(of_suffix, strength(of_suffix, least, most))
     of_domain = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).join(of_suffix.select("suffix", F.col("mean").alias("parent")), "suffix")
