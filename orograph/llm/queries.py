@@ -7,15 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import sql
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable:
+def query(name: str, statement: str | None = None) -> Callable:
     def add(f: Callable) -> Callable:
         QUERIES[name] = f
-        if sql:
-            SQL[name] = sql
+        if statement:
+            SQL[name] = statement
         return f
 
     return add
@@ -34,18 +36,19 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_spec(public_tokenizers.path("word_bpe_49k.json")), with_ids=False)
 
 
-@query("op1_decontaminate")
+@query("op1_decontaminate", sql.DECONTAMINATE)
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import find, n_hit
 
     found = find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select(
         "doc_id", "n_words", n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit() > 0).alias("contaminated"), "hit_spans",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit() > 0).alias("contaminated"),
+        F.array_join(F.transform("hit_spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias("hit_spans"),
     )
 
 
-@query("op8_quality_rules")
+@query("op8_quality_rules", sql.quality_rules())
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import measured
 
@@ -53,7 +56,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_kept_words")
 
 
-@query("op10_licenses")
+@query("op10_licenses", sql.license_scan())
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan
 
@@ -61,12 +64,13 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
 
 
-@query("op6_url_filter")
+@query("op6_url_filter", sql.url_judgement())
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import judge, outcomes_of
 
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return judge(pages, outcomes_of(pages, table(spark, sf_dir, "labels")), keep=["page_id"])
+    found = judge(pages, outcomes_of(pages, table(spark, sf_dir, "labels")), keep=["page_id"])
+    return found.withColumns({x: F.round(x, 9) for x in ("bad_rate", "bound")})
 
 
 @query("op4_sharding")
