@@ -106,7 +106,8 @@ def repeated(docs: DataFrame, *, min_words: int = 50, window: int = 26, text: st
     fingerprints(docs, text, window, w).write.parquet(folder.uri)
     every = docs.sparkSession.read.parquet(folder.uri)
     own = F.struct("k1", "k2", "pos")
-    first = every.groupBy("fp").agg(F.min(own).alias("f"), F.count("*").alias("n")).where("n > 1").select("fp", "f")
+    # kept apart from the join, whose sides are then plain shuffles that adaptive execution can split at a frequent fingerprint
+    first = materialised(every.groupBy("fp").agg(F.min(own).alias("f"), F.count("*").alias("n")).where("n > 1").select("fp", "f"))
     found = every.join(first, "fp").where(own != F.col("f")).select("k1", "k2", "pos", F.col("f.k1").alias("f1"), F.col("f.k2").alias("f2"), F.col("f.pos").alias("fpos"))
     line = Window.partitionBy("k1", "k2", "f1", "f2", "shift").orderBy("pos")
     found = found.withColumn("shift", F.col("pos") - F.col("fpos"))
