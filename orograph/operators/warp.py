@@ -32,17 +32,35 @@ def taps(u: Column, method: str) -> tuple[Column, list[Column]]:
     return first - 1, [((2 - t) * t - 1) * t / 2, ((3 * t - 5) * t * t + 2) / 2, ((4 - 3 * t) * t + 1) * t / 2, (t - 1) * t * t / 2]
 
 
+#: Cells of a source row that are kept together for the join.
+STRIP = 64
+
+
+def strips(source: DataFrame, value: str, reach: int) -> DataFrame:
+    """(sr, b, zs): each source row in pieces of STRIP cells, and the `reach` cells after them; null where there is no value."""
+    c = F.col("c")
+    parts = F.array_distinct(F.array(F.floor(c / STRIP).cast("int"), F.floor((c - reach) / STRIP).cast("int")))
+    cells = source.where(F.col(value).isNotNull()).select(F.col("r").alias("sr"), c, F.col(value).cast("double").alias("z"), F.explode(parts).alias("b"))
+    held = cells.groupBy("sr", "b").agg(F.map_from_entries(F.collect_list(F.struct((c - F.col("b") * STRIP).alias("k"), "z"))).alias("m"))
+    return held.select("sr", "b", F.transform(F.sequence(F.lit(0), F.lit(STRIP + reach - 1)), lambda k: F.try_element_at("m", k)).alias("zs"))
+
+
 def resampled(source: DataFrame, target: DataFrame, method: str = "cubic", value: str = "z") -> DataFrame:
     """(r, c, value) of target(r, c, u, v), u and v being its column and row position in source cells: weighted means over cells with a value, null where none has (or the weights cancel out).
 
-    Each target cell asks for its 1, 4 or 16 source cells; answers meet by an equi-join on the source cell and are added up by target cell."""
+    source has at most one row a place. Its rows are cut into strips with a few cells of overlap, so that a target cell asks once for each source row it needs
+    (1, 2 or 4 times) and not for each cell; answers meet by an equi-join on row and strip and are added up by target cell."""
     c0, wc = taps(F.col("u"), method)
     r0, wr = taps(F.col("v"), method)
-    asked = F.array(*(F.struct((r0 + i).alias("sr"), (c0 + j).alias("sc"), (a * b).alias("w")) for i, a in enumerate(wr) for j, b in enumerate(wc)))
-    wanted = target.select("r", "c", F.explode(asked).alias("t")).select("r", "c", "t.*")
-    have = source.where(F.col(value).isNotNull()).select(F.col("r").alias("sr"), F.col("c").alias("sc"), F.col(value).cast("double").alias("_z"))
-    met = wanted.join(have, ["sr", "sc"], "left").groupBy("r", "c").agg(F.sum(F.col("w") * F.col("_z")).alias("_s"), F.sum(F.when(F.col("_z").isNotNull(), F.col("w"))).alias("_w"))
-    return met.select("r", "c", F.when(F.abs("_w") > 1e-9, F.col("_s") / F.col("_w")).alias(value))
+    asked = F.array(*(F.struct((r0 + i).alias("sr"), w.alias("w")) for i, w in enumerate(wr)))
+    wanted = target.select("r", "c", c0.alias("c0"), F.array(*wc).alias("wc"), F.explode(asked).alias("t")).select("r", "c", "t.*", "wc", F.floor(F.col("c0") / STRIP).cast("int").alias("b"), F.pmod("c0", F.lit(STRIP)).alias("k"))
+    met = wanted.join(strips(source, value, len(wc) - 1), ["sr", "b"], "left")
+    found = [(F.get("zs", F.col("k") + j), F.col("w") * F.get("wc", F.lit(j))) for j in range(len(wc))]
+    over = lambda xs: sum(xs[1:], xs[0])
+    some = F.col("zs").isNotNull()
+    met = met.select("r", "c", F.when(some, over([F.coalesce(w * z, F.lit(0.0)) for z, w in found])).alias("s"), F.when(some, over([F.when(z.isNotNull(), w).otherwise(0.0) for z, w in found])).alias("w"), F.when(some, over([z.isNotNull().cast("int") for z, _ in found])).alias("n"))
+    total = met.groupBy("r", "c").agg(F.sum("s").alias("s"), F.sum("w").alias("w"), F.sum("n").alias("n"))
+    return total.select("r", "c", F.when((F.col("n") > 0) & (F.abs("w") > 1e-9), F.col("s") / F.col("w")).alias(value))
 
 
 def positions(grid: Grid, cells: DataFrame, source: Grid) -> DataFrame:

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from .functions import aoi, cells, projection
 from .operators import focal, grid, render, warp
+from .sources import geotiff, png
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable:
+def query(sql: str | None = None) -> Callable:
     def add(f: Callable) -> Callable:
         QUERIES[f.__name__] = f
         if sql:
@@ -428,3 +429,22 @@ def pipeline_rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = dem.select("r", "c", F.round(F.round("z", 3)).cast("long").alias("z"))
     found = focal.multiscale_dev(whole, {"micro": 1500.0, "meso": 3500.0, "macro": 10500.0}, g.res, most=10 * EMB_MOST)
     return render.rgb_composite(found).select("r", "c", "red", "green", "blue", "alpha")
+
+
+# Files: what tasks make of the image (deflated bytes, which SQL has not)
+
+
+def image(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, grid.Grid]:
+    return render.rgb_composite(layers(spark, sf_dir)), grid.Grid(EPSG, 0.0, 0.0, RES_METRES, emb_rows(spark, sf_dir), 64)
+
+
+@query()
+def geotiff_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells_, g = image(spark, sf_dir)
+    return geotiff.encoded_blocks(cells_, g, ["red", "green", "blue"], "u1", 0.0)
+
+
+@query()
+def png_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells_, g = image(spark, sf_dir)
+    return png.deflated_bands(cells_, g, ["red", "green", "blue", "alpha"], 256)
