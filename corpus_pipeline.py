@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orograph.llm import decontaminate, line_dedup, packing, quality, simhash
-from orograph.llm.shared import shared_dir
+from orograph.llm.shared import Folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,13 +45,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; each stage's result is written to the shared folder and read again, so that a lost executor costs one stage's work at most."""
-    import uuid
-
-    at, docs = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{at}/{i}")
-        docs = spark.read.parquet(f"{at}/{i}")
+    """The last stage's rows. Each stage's result is written to the shared folder and read again, so that a lost executor costs one stage's work at most; it goes when the next one is there (the last one with the driver)."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES:
+        folder = Folder(spark, "pipeline")
+        stage(spark, docs, sf_dir).write.parquet(folder.uri)
+        docs = spark.read.parquet(folder.uri)
+        if before:
+            before.delete()
+        before = folder
     return docs
-
-
