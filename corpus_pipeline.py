@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orograph.llm import decontaminate, line_dedup, packing, quality, simhash
 from orograph.llm.shared import Folder
 
 
+def recounted(docs: DataFrame) -> DataFrame:
+    """n_chars as the text now is."""
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops rejected documents; those that stay keep their lines as they are written but for lines that fail a rule."""
-    return quality.cleaned(docs)
+    return recounted(quality.cleaned(docs))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of 50 words or more that an earlier document has; documents of which nothing is left go."""
-    return line_dedup.cut(docs)
+    return recounted(line_dedup.cut(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
