@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where that is unset (one machine), a temporary folder that goes with the driver."""
+    """spark.checkpoint.dir; where that is unset and everything runs in one process, a temporary folder that goes with the driver."""
     context = spark.sparkContext
     if folder := context.getConf().get("spark.checkpoint.dir"):
         return folder
     if not (folder := context.getCheckpointDir()):
+        if not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="orograph-")
         atexit.register(shutil.rmtree, folder, True)
         context.setCheckpointDir(folder)
