@@ -18,7 +18,7 @@ def shared_dir(spark: SparkSession) -> str:
     if folder := context.getConf().get("spark.checkpoint.dir"):
         return folder
     if not (folder := context.getCheckpointDir()):
-        if not context.master.startswith("local["):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="orograph-")
         atexit.register(shutil.rmtree, folder, True)
