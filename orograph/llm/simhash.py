@@ -240,7 +240,8 @@ def grouped(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int =
         pairs = tiled_links(nodes, columns, radius)
     found = components(materialised(pairs))
     rooted = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # kept apart from the join, whose sides are then plain shuffles that adaptive execution can split at a large group
+    named = materialised(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     known = materialised(rooted.join(named, "root").select(*columns, "component_id"))
     return slim.join(known, columns).select(*slim.columns, "component_id")
 
