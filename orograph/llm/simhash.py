@@ -1,4 +1,4 @@
-"""SimHash fingerprints and near-duplicates by tiled exact comparison."""
+"""SimHash fingerprints and near-duplicates by tiled exact comparison, of fingerprints or, with these as a filter, of shingles."""
 
 from __future__ import annotations
 
@@ -12,10 +12,12 @@ from pyspark.sql import types as T
 
 from .components import components
 from .shared import materialised
-from .words import LOWER, map_texts, words
+from .words import LOWER, map_texts, numbers, rolling, words
 
 #: Rows of a tile: a task compares one tile with itself or one other.
 TILE = 2048
+#: Shingles of a tile whose rows are compared by them.
+SHINGLES = 4_000_000
 
 
 def spread(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -48,6 +50,34 @@ def fingerprint(text: bytes, shingle: int, parts: int = 1) -> np.ndarray:
     return np.packbits(2 * ones > n, bitorder="little").view("<u8")
 
 
+def shingles(text: bytes, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes (64 bits) of a text's runs of words; of a shorter text one, of all its words; none without words."""
+    hashes = numbers([text], LOWER, xxhash.xxh64_intdigest, np.uint64)[0]
+    return np.unique(rolling(hashes, min(shingle, len(hashes)))) if len(hashes) else hashes
+
+
+def sketch(own: np.ndarray, parts: int) -> list[int]:
+    """The fingerprint of distinct shingles, and a hash of the whole set, as signed longs. No shingles: zeros."""
+    ones = np.zeros(64 * parts, np.int64)
+    for x in range(0, len(own), 1 << 16):
+        mixed = np.ascontiguousarray(spread(own[x : x + (1 << 16)], parts + 1)[:, 1:])
+        ones += np.unpackbits(mixed.view(np.uint8).reshape(-1, 8 * parts), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    whole = np.array([xxhash.xxh64_intdigest(own.tobytes()) if len(own) else 0], np.uint64).view(np.int64)
+    return [*np.packbits(2 * ones > len(own), bitorder="little").view("<i8").tolist(), int(whole[0])]
+
+
+def sketches(docs: DataFrame, *, shingle: int, parts: int, text: str, keep: list[str]) -> DataFrame:
+    """`keep`, the fingerprint of each text's distinct shingles, and `same`, a hash of their set."""
+
+    def start():
+        def work(texts: list[bytes]) -> list:
+            return [list(x) for x in zip(*(sketch(shingles(t, shingle), parts) for t in texts))]
+
+        return work
+
+    return map_texts(docs, text, [T.StructField(n, T.LongType(), False) for n in [*names(parts), "same"]], start, keep)
+
+
 def names(parts: int) -> list[str]:
     return ["fingerprint", *(f"fingerprint_{i}" for i in range(2, parts + 1))]
 
@@ -167,6 +197,30 @@ def links(distinct: DataFrame, radius: int, *, tile: int = TILE) -> DataFrame:
     return tasks.select("task", "fp", "side").repartition(n, "task").sortWithinPartitions("task").mapInArrow(compare, schema)
 
 
+def strips(f: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int):
+    """Pairs of rows of f (one of `left`, one of `right`) within the radius, a few rows of `left` at a time."""
+    step = max(1, (1 << 18) // max(1, len(right)))
+    columns = [np.ascontiguousarray(f[right, c]) for c in range(f.shape[1])]
+    for r in range(0, len(left), step):
+        differ = sum(np.bitwise_count(f[left[r : r + step], c][:, None] ^ y[None, :]).astype(np.uint16) for c, y in enumerate(columns))
+        i, j = np.nonzero(differ <= radius)
+        if len(i):
+            yield left[r + i], right[j]
+
+
+def near(f: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int) -> np.ndarray:
+    """Smallest row reachable from each; of the pairs no more than about a million are held."""
+    root, found, held = np.arange(len(f)), [], 0
+    for i, j in strips(f, left, right, radius):
+        found.append((i, j))
+        held += len(i)
+        if held > 1 << 20:
+            root = forest(len(f), *(np.concatenate(x) for x in zip(*found)))
+            moved = np.nonzero(root != np.arange(len(f)))[0]
+            found, held = [(moved, root[moved])], 0
+    return forest(len(f), *(np.concatenate(x) for x in zip(*found))) if found else root
+
+
 def tiled_links(nodes: DataFrame, columns: list[str], radius: int, *, tile: int = 1 << 16) -> DataFrame:
     """(a, b) of nodes(node, columns) that connect all whose fingerprints over all columns differ in `radius` bits or fewer.
 
@@ -195,16 +249,6 @@ def tiled_links(nodes: DataFrame, columns: list[str], radius: int, *, tile: int
     sent = nodes.select("node", *columns, own.alias("t")).select("*", F.explode(F.sequence(*ends)).alias("o"))
     sent = sent.select((F.least("t", "o").cast("long") * tiles + F.greatest("t", "o")).alias("task"), "node", (F.col("t") == F.least("t", "o")).alias("left"), (F.col("t") == F.col("o")).alias("both"), *columns)
 
-    def near(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found, step = [], max(1, (1 << 18) // max(1, len(y)))
-        columns_of_y = [np.ascontiguousarray(y[:, c]) for c in range(y.shape[1])]
-        for r in range(0, len(x), step):
-            differ = sum(np.bitwise_count(x[r : r + step, c, None] ^ yc[None, :]).astype(np.uint16) for c, yc in enumerate(columns_of_y))
-            i, j = np.nonzero(differ <= radius)
-            if len(i):
-                found.append((i + r, j))
-        return (np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])) if found else (np.empty(0, np.int64),) * 2
-
     def compare(batches):
         import pyarrow as pa
 
@@ -213,8 +257,7 @@ def tiled_links(nodes: DataFrame, columns: list[str], radius: int, *, tile: int
         for _, (node, left, both, *prints) in runs(batches):
             f = np.stack(prints, axis=1).view(np.uint64)
             left_rows, right_rows = np.nonzero(left | both)[0], np.nonzero(~left | both)[0]
-            i, j = near(f[left_rows], f[right_rows])
-            root = forest(len(node), left_rows[i], right_rows[j])
+            root = near(f, left_rows, right_rows, radius)
             moved = np.nonzero(root != np.arange(len(node)))[0]
             yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], names=["a", "b"])
 
@@ -222,17 +265,84 @@ def tiled_links(nodes: DataFrame, columns: list[str], radius: int, *, tile: int
     return sent.repartition(n, "task").sortWithinPartitions("task").mapInArrow(compare, schema)
 
 
-def grouped(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int = 1, doc: str = "doc_id", text: str = "text", more: list[F.Column] = ()) -> DataFrame:
+def alike(f: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, radius: int, similarity: float) -> np.ndarray:
+    """A root for each row: rows are linked if they are within the radius and share `similarity` (Jaccard) of their shingles. Pairs that are connected already are not compared."""
+    root, size = np.arange(len(f)), np.array([len(s) for s in sets])
+    for i, j in strips(f, left, right, radius):
+        for a in np.unique(i).tolist():
+            near = j[i == a]
+            near = near[(root[near] != root[a]) & (np.minimum(size[near], size[a]) >= similarity * np.maximum(size[near], size[a]) - 1e-9)]
+            if not len(near):
+                continue
+            flat, own = np.concatenate([sets[x] for x in near.tolist()]), sets[a]
+            at = np.searchsorted(own, flat)
+            at[at == len(own)] = 0
+            both = np.add.reduceat((own[at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(size[near])[:-1]]))
+            for r in np.unique(root[near[both >= similarity * (size[near] + size[a] - both) - 1e-9]]).tolist():
+                root[root == max(r, root[a])] = min(r, root[a])
+    return root
+
+
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, columns: list[str], radius: int, shingle: int, similarity: float, doc: str, text: str, *, tile: int = TILE, most: int = SHINGLES) -> DataFrame:
+    """(a, b) that connect all of nodes(node, columns, m: doc and text hash of one of its rows) that share `similarity` of their shingles and are within the radius.
+
+    pairs connect all within the radius. The nodes of each of their groups are brought together with their shingles, read again from one text each, and
+    compared in tiles of about `tile` rows and `most` shingles at most: a pair of tiles is a task, no pair of rows leaves one, and a row is sent to as many tasks as its group has tiles."""
+    found = components(materialised(pairs))
+    wanted = nodes.join(found, "node").select("node", "root", *columns, F.coalesce(F.col("m.doc").cast("string"), F.lit("")).alias("_doc"), F.col("m.mark").alias("_mark"))
+    own = docs.select(F.coalesce(F.col(doc).cast("string"), F.lit("")).alias("_doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_mark"), F.col(text).alias("_t"))
+    texts = own.join(wanted, ["_doc", "_mark"]).dropDuplicates(["node"])
+
+    def start():
+        return lambda texts: [[shingles(t, shingle).tobytes() for t in texts]]
+
+    held = materialised(map_texts(texts, "_t", [T.StructField("set", T.BinaryType(), False)], start, ["node", "root", *columns]))
+    tiles = held.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / tile), F.ceil(F.sum(F.length("set")) / (8 * most)), F.lit(1)).cast("int").alias("tiles"))
+    placed = held.join(materialised(tiles), "root").withColumn("t", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    sent = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
+    sent = sent.select(F.xxhash64("root", F.least("t", "o"), F.greatest("t", "o")).alias("task"), "node", (F.col("t") <= F.col("o")).alias("left"), (F.col("t") == F.col("o")).alias("both"), "set", *columns)
+
+    def compare(batches):
+        import pyarrow as pa
+
+        from .kneser_ney import runs
+
+        for _, (node, left, both, sets, *prints) in runs(batches):
+            left, both = left.astype(bool), both.astype(bool)
+            f = np.stack(prints, axis=1).view(np.uint64)
+            root = alike(f, [np.frombuffer(s, np.uint64) for s in sets], np.nonzero(left)[0], np.nonzero(~left | both)[0], radius, similarity)
+            moved = np.nonzero(root != np.arange(len(node)))[0]
+            yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], names=["a", "b"])
+
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.LongType(), False)])
+    return sent.repartition(n, "task").sortWithinPartitions("task").mapInArrow(compare, schema)
+
+
+def grouped(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int = 1, similarity: float | None = None, doc: str = "doc_id", text: str = "text", more: list[F.Column] = ()) -> DataFrame:
     """doc, the columns of `more`, fingerprint and component_id (smallest doc reachable over links of at most `radius` differing bits) for each row.
 
+    similarity: texts are linked if they share that much (Jaccard) of their distinct shingles; the radius then only says which pairs are compared,
+    the fingerprint is of distinct shingles, and a column `same` has a hash of their set.
     One part of 64 bits and a small radius are compared within buckets, more parts or a radius above 6 in tiles of everything.
     Texts are read once; fingerprints, links and rounds of components are kept in the shared folder. Equal fingerprints are one node, so
     copies cost nothing beyond their row. Null docs belong to groups but name none, unless a group has nothing else (then null). Null and
     empty texts share fingerprint 0, which links like any other. Repeated rows stay. No rows: no rows."""
     columns = names(parts)
-    slim = materialised(fingerprints(docs.select(F.col(doc), F.col(text), *more), shingle=shingle, parts=parts, text=text).drop(text))
-    nodes = slim.groupBy(*columns).agg(F.min(doc).alias("least"))
-    if parts == 1 and radius <= 6:
+    if similarity is None:
+        slim = materialised(fingerprints(docs.select(F.col(doc), F.col(text), *more), shingle=shingle, parts=parts, text=text).drop(text))
+        nodes = slim.groupBy(*columns).agg(F.min(doc).alias("least"))
+    else:
+        read = docs.select(F.col(doc), F.col(text), *more).withColumn("_own", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+        slim = materialised(sketches(read, shingle=shingle, parts=parts, text=text, keep=[c for c in read.columns if c != text]))
+        own = F.struct(F.col(doc).alias("doc"), F.col("_own").alias("mark"))
+        nodes = slim.groupBy(*columns, "same").agg(F.min(doc).alias("least"), F.min(own).alias("m"))
+        slim = slim.drop("_own")
+    if similarity is not None:
+        nodes = materialised(nodes.withColumn("node", F.monotonically_increasing_id()))
+        pairs = verified(docs, nodes, tiled_links(nodes, columns, radius), columns, radius, shingle, similarity, doc, text)
+        columns = [*columns, "same"]
+    elif parts == 1 and radius <= 6:
         nodes = nodes.withColumn("node", F.col("fingerprint"))
         pairs = links(nodes.select(F.col("fingerprint").alias("fp")), radius)
     else:
@@ -246,11 +356,11 @@ def grouped(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int =
     return slim.join(known, columns).select(*slim.columns, "component_id")
 
 
-def one_of_each(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int = 1, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int = 1, similarity: float | None = None, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without near-copies: of each group one row stays, of the smallest doc (nulls last), then of the smallest text hash. Rows that agree in doc and text count as one."""
     # rows are found again by doc and text hash, null or not
     mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    found = grouped(docs, radius=radius, shingle=shingle, parts=parts, doc=doc, text=text, more=[mark.alias("_mark")])
+    found = grouped(docs, radius=radius, shingle=shingle, parts=parts, similarity=similarity, doc=doc, text=text, more=[mark.alias("_mark")])
     alone = F.col("component_id").isNull()
     first = found.groupBy("component_id", F.when(alone, F.col("fingerprint")).alias("_f")).agg(F.min(F.struct(F.col(doc).isNull().alias("no"), F.col(doc).alias("doc"), F.col("_mark").alias("mark"))).alias("m"))
     keys = first.select(F.coalesce(F.col("m.doc").cast("string"), F.lit("")).alias("_doc"), F.col("m.mark").alias("_mark"))

@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from orograph.llm import kneser_ney, line_dedup, packing, sharding, simhash, url_filter, weak_labels
 from orograph.llm.components import components
 
@@ -97,6 +98,27 @@ def test_one_of_each(spark):
     assert {10, 11, 16} <= set(ids)
 
 
+def jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := space_words(low(t))) else set() for t in (a, b))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_near_copies_are_those_of_the_similarity(spark, monkeypatch):
+    """Documents that share a template (0.5 to 0.75) stay, near-copies (0.8 and more) go, also where a group has many tiles."""
+    rng = random.Random(11)
+    body, texts = prose(rng, 300, 99999).split(), [None, "", "two words", "Two  words", "two word"]
+    texts += [" ".join(body[:k] + prose(rng, 300 - k, 99999).split()) for k in (200, 220, 240, 255, 262, 270, 280, 290) for _ in range(6)]
+    texts += [prose(rng, 200, 99999) for _ in range(6)]
+    root = reached(len(texts), lambda a, b: jaccard(texts[a], texts[b]) >= 0.8)
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], COLUMNS)
+    how = {"shingle": 5, "radius": 34, "parts": 2, "similarity": 0.8}
+    assert {r.doc_id: r.component_id for r in simhash.grouped(docs, **how).collect()} == dict(enumerate(root))
+    assert {r.doc_id for r in simhash.one_of_each(docs, **how).collect()} == set(root)
+    monkeypatch.setitem(simhash.verified.__kwdefaults__, "tile", 10)
+    assert {r.doc_id: r.component_id for r in simhash.grouped(docs, **how).collect()} == dict(enumerate(root))
+    assert corpus_pipeline.near_copies(spark, docs, "").count() == len(set(root))
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
