@@ -8,11 +8,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .decontaminate import united
 from .shared import Folder, materialised
 from .words import LOWER, numbers, rolling, slices, texts_of
 
@@ -64,65 +63,78 @@ def fingerprints(docs: DataFrame, text: str, k: int, w: int) -> DataFrame:
     return docs.select("_k1", "_k2", text).mapInArrow(run, "fp long, k1 long, k2 long, pos int")
 
 
-def surroundings(docs: DataFrame, wanted: DataFrame, text: str, reach: int) -> DataFrame:
-    """(k1, k2, start, end, left, right): hashes of up to `reach` words before and after the wanted stretches, nearest first."""
-    lists = wanted.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end")).alias("at"))
-    rows = docs.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), text).join(lists, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "at", text)
+def windows(docs: DataFrame, lists: DataFrame, text: str, k: int, window: int) -> DataFrame:
+    """(h, place): hashes of the windows of k words whose least window of `window` words is one of those at `at`, place being a document's number and the window's first word in one long."""
+    rows = docs.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), text).join(lists, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("number", "at", text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for x, y in slices(pa.compute.fill_null(pa.compute.binary_length(b.column(3)), 0).to_pylist()):
-                part, out = b.slice(x, y - x), ([], [], [], [], [], [])
-                hashes, ends = numbers(texts_of(part.column(3)), LOWER, xxhash.xxh64_intdigest, np.uint64)
-                hashes = hashes.view(np.int64)
-                for i, (k1, k2, at) in enumerate(zip(*(part.column(c).to_pylist() for c in range(3)))):
-                    own = hashes[ends[i] : ends[i + 1]]
-                    for s in at:
-                        row = (k1, k2, s["start"], s["end"], own[max(0, s["start"] - reach) : s["start"]][::-1].tolist(), own[s["end"] : s["end"] + reach].tolist())
-                        for to, v in zip(out, row):
-                            to.append(v)
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=["k1", "k2", "start", "end", "left", "right"])
+            for x, y in slices(pa.compute.fill_null(pa.compute.binary_length(b.column(2)), 0).to_pylist()):
+                part, found, places = b.slice(x, y - x), [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+                hashes, ends = numbers(texts_of(part.column(2)), LOWER, xxhash.xxh64_intdigest, np.uint64)
+                for i, (number, at) in enumerate(zip(part.column(0).to_pylist(), part.column(1))):
+                    h, pos = rolling(hashes[ends[i] : ends[i + 1]], k), at.values.to_numpy(zero_copy_only=False)
+                    inner, n = rolling(hashes[ends[i] : ends[i + 1]], window), k - window + 1
+                    low, have = inner, 1
+                    while len(h) and have < n:
+                        step = min(have, n - have)
+                        low, have = np.minimum(low[: len(low) - step], low[step:]), have + step
+                    start = np.nonzero(np.isin(low, inner[pos]))[0] if len(h) else np.empty(0, np.int64)
+                    found.append(h[start])
+                    places.append((number << 31) + start)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(places))], names=["h", "place"])
+
+    return rows.mapInArrow(run, "h long, place long")
 
-    return rows.mapInArrow(run, "k1 long, k2 long, start int, end int, left array<long>, right array<long>")
 
+def numbered(lists: DataFrame) -> DataFrame:
+    """lists(k1, k2, ...) and `number`, counted from 0 in the order of k1, k2."""
+    held = materialised(lists.orderBy("k1", "k2").withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("_id", 33).cast("int")
+    sizes = {r.part: r.n for r in held.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    before = np.cumsum([0, *(sizes.get(i, 0) for i in range(max(sizes, default=0) + 1))]).tolist()
+    return held.withColumn("number", F.get(F.array(*map(F.lit, before)), part).cast("long") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id")
 
-def shared_length(a: Column, b: Column) -> Column:
-    """How many leading elements two arrays share."""
-    first = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), False)
-    return F.when(first > 0, first - 1).otherwise(F.least(F.size(a), F.size(b))).cast("int")
+
+def runs_of(starts: DataFrame, k: int) -> DataFrame:
+    """(number, spans) of (number, starts): windows of k words, those that touch joined."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        for b in batches:
+            spans = []
+            for x in b.column(1):
+                at = np.sort(x.values.to_numpy(zero_copy_only=False))
+                new = np.nonzero(np.diff(at) > k)[0]
+                spans.append([{"start": s, "end": e + k} for s, e in zip(at[[0, *(new + 1)]].tolist(), at[[*new, -1]].tolist())])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, kind)], names=["number", "spans"])
+
+    return starts.mapInArrow(run, f"number long, spans {SPANS}")
 
 
 def repeated(docs: DataFrame, *, min_words: int = 50, window: int = 26, text: str = "text") -> DataFrame:
-    """(_k1, _k2, spans) of keyed documents that hold repeated runs: the words to cut.
-
-    Windows of `window` words are hashed and of each min_words - window + 1 in a row the least is a fingerprint, so each run of min_words
-    shares one with its copies. Every fingerprint is joined with its first place in the order of documents; matches on one diagonal are
-    joined into stretches and extended word by word both ways as far as the first place goes along. Stretches that touch are one run,
-    and runs of min_words or more are cut. A frequent fingerprint is reduced to its first place on the map side before
-    the shuffle, and the join back can be split by adaptive execution."""
-    w = min_words - window + 1
-    folder = Folder(docs.sparkSession, "fingerprints")
-    fingerprints(docs, text, window, w).write.parquet(folder.uri)
-    every = docs.sparkSession.read.parquet(folder.uri)
-    own = F.struct("k1", "k2", "pos")
+    """(_k1, _k2, spans) of keyed documents that hold repeated runs: the words to cut, which are those of each window of min_words words that came before.
+
+    Windows of `window` words are hashed and of each min_words - window + 1 in a row the least is a fingerprint, so each window of min_words holds one, the same
+    one as its copies. Only windows whose fingerprint comes more than once are hashed whole, and each is joined with its first
+    place in the order of documents: nothing depends on what surrounds the first place of a fingerprint. Frequent fingerprints and windows are
+    reduced to a count and a first place on the map side before the shuffle, and the joins back can be split by adaptive execution."""
+    spark = docs.sparkSession
+    folder, whole = Folder(spark, "fingerprints"), Folder(spark, "windows")
+    fingerprints(docs, text, window, min_words - window + 1).write.parquet(folder.uri)
+    every = spark.read.parquet(folder.uri)
     # kept apart from the join, whose sides are then plain shuffles that adaptive execution can split at a frequent fingerprint
-    first = materialised(every.groupBy("fp").agg(F.min(own).alias("f"), F.count("*").alias("n")).where("n > 1").select("fp", "f"))
-    found = every.join(first, "fp").where(own != F.col("f")).select("k1", "k2", "pos", F.col("f.k1").alias("f1"), F.col("f.k2").alias("f2"), F.col("f.pos").alias("fpos"))
-    line = Window.partitionBy("k1", "k2", "f1", "f2", "shift").orderBy("pos")
-    found = found.withColumn("shift", F.col("pos") - F.col("fpos"))
-    found = found.withColumn("part", F.coalesce((F.col("pos") - F.lag("pos").over(line) > window).cast("int"), F.lit(0))).withColumn("part", F.sum("part").over(line))
-    stretches = materialised(found.groupBy("k1", "k2", "f1", "f2", "shift", "part").agg(F.min("pos").alias("start"), (F.max("pos") + window).alias("end")).drop("part"))
+    again = materialised(every.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
+    lists = numbered(every.join(again, "fp").groupBy("k1", "k2").agg(F.collect_set("pos").alias("at")))
     folder.delete()
-    stretches = stretches.withColumns({"fs": (F.col("start") - F.col("shift")).cast("int"), "fe": (F.col("end") - F.col("shift")).cast("int")})
-    wanted = stretches.select("k1", "k2", "start", "end").unionByName(stretches.select(F.col("f1").alias("k1"), F.col("f2").alias("k2"), F.col("fs").alias("start"), F.col("fe").alias("end")))
-    around = materialised(surroundings(docs, wanted, text, w - 1))
-    other = around.select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), F.col("start").alias("fs"), F.col("end").alias("fe"), F.col("left").alias("f_left"), F.col("right").alias("f_right"))
-    both = stretches.join(around, ["k1", "k2", "start", "end"]).join(other, ["f1", "f2", "fs", "fe"])
-    span = F.struct((F.col("start") - shared_length(F.col("left"), F.col("f_left"))).cast("int").alias("start"), (F.col("end") + shared_length(F.col("right"), F.col("f_right"))).cast("int").alias("end"))
-    runs = both.groupBy("k1", "k2").agg(F.collect_set(span).alias("s"))
-    spans = F.filter(united(F.col("s")), lambda s: s["end"] - s["start"] >= min_words)
-    return materialised(runs.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), spans.alias("spans")).where(F.size("spans") > 0))
+    windows(docs, lists, text, min_words, window).write.parquet(whole.uri)
+    found = spark.read.parquet(whole.uri)
+    first = materialised(found.groupBy("h").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first"))
+    later = found.join(first, "h").where("place > first").select(F.shiftrightunsigned("place", 31).alias("number"), F.col("place").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("start"))
+    spans = runs_of(later.groupBy("number").agg(F.collect_list("start").alias("starts")), min_words)
+    out = materialised(lists.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "number").join(spans, "number").select("_k1", "_k2", "spans"))
+    whole.delete()
+    return out
 
 
 def without(text: bytes, spans: list[dict]) -> bytes:

@@ -173,6 +173,27 @@ def test_no_passage_repeats_afterwards(spark):
     assert not {d for d in own if found[d] and not must[d] and len(set(space_words(own[d]))) > 60}
 
 
+def test_passages_behind_parts_of_them(spark):
+    """Every repeat of 50 words goes, also where an earlier document has a part of the passage that is too short itself."""
+    rng = random.Random(9)
+    texts = []
+    for n in (50, 55, 60, 70, 97):
+        for _ in range(12):
+            passage = prose(rng, n, 99999).split()
+            at = (n - 49) // 2
+            texts += [" ".join(x) for x in (passage[at : at + 49], prose(rng, 20, 99999).split() + passage + prose(rng, 20, 99999).split(), prose(rng, 7, 99999).split() + passage + prose(rng, 9, 99999).split())]
+    texts += ["x " * 120, "a b c d e f g h i j k l m " * 12]
+    seen, want = set(), defaultdict(set)
+    for d, t in enumerate(texts):
+        w = space_words(low(t))
+        for i in range(len(w) - 49):
+            if (g := tuple(w[i : i + 50])) in seen:
+                want[d] |= set(range(i, i + 50))
+            seen.add(g)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: {i for s in r.spans for i in range(s.start, s.end)} for r in line_dedup.marked(docs).collect() if r.spans} == want
+
+
 # sharding
 
 
