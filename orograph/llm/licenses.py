@@ -83,6 +83,39 @@ def matches(blocks: Column, order: list[str], templates: list[tuple[str, str]],
     return let(numbered, found)
 
 
+def wrapped(low: Column, blocks: Column, templates: list[tuple[str, str]], threshold: float) -> Column:
+    """Matches as in matches(), over line ends, of templates that no single line holds: in as many words in a row as the template has (divided by the
+    threshold), wherever lines end. One for a template, the fullest and first of them; its block is the line where the words begin.
+
+    Words are only looked at in texts whose lines have enough of a template's tokens together."""
+    empty = F.array().cast("array<struct<block:int,label:string,containment:double>>")
+
+    def of_template(ws: Column, label: str, own: list[str], need: int, width: int) -> Column:
+        mine = strings(own)
+        starts = F.filter(F.sequence(F.lit(0), F.size(ws) - 1), lambda p: F.array_contains(mine, F.get(ws, p)["w"]))
+        hits = F.transform(starts, lambda p: F.struct(F.size(F.array_intersect(mine, F.transform(F.slice(ws, p + 1, F.lit(width)), lambda x: x["w"]))).alias("n"), (-F.get(ws, p)["i"]).alias("at")))
+        best = F.array_max(F.filter(hits, lambda h: h["n"] >= need))
+        return let(best, lambda h: F.when(h.isNull(), empty).otherwise(F.array(F.struct((-h["at"]).alias("block"), F.lit(label).alias("label"), (h["n"] / F.lit(float(len(own)))).alias("containment")))))
+
+    plans = []
+    for label, template in templates:
+        own = tokens(template)
+        need = max(1, math.ceil(threshold * len(own) - 1e-9))
+        plans.append((label, own, need, math.ceil(len(template.replace("/", " ").split()) / threshold - 1e-9)))
+
+    def open_(every: Column, own: list[str], need: int) -> Column:
+        return (F.size(F.array_intersect(strings(own), every)) >= need) & ~F.exists(blocks, lambda b: F.size(F.array_intersect(strings(own), b)) >= need)
+
+    lines = F.transform(F.split(low, "\n"), lambda line, i: F.transform(F.filter(F.split(line, BETWEEN), lambda w: w != ""), lambda w: F.struct(i.alias("i"), w.alias("w"))))
+
+    def found(every: Column) -> Column:
+        flags = F.array(*(open_(every, own, need) for _, own, need, _ in plans))
+        some = lambda on: F.when(F.exists(on, lambda x: x), let(F.flatten(lines), lambda ws: F.concat(*(F.when(F.get(on, F.lit(k)), of_template(ws, *p)).otherwise(empty) for k, p in enumerate(plans))))).otherwise(empty)
+        return let(flags, some)
+
+    return let(F.array_distinct(F.flatten(blocks)), found)
+
+
 def phrases(low: Column) -> Column:
     """struct<n_words, n_base, first_word, last_word, base_labels array> of a lower-cased text."""
 
@@ -109,14 +142,14 @@ def scan(docs: DataFrame, *, text: str = "text", templates: list[tuple[str, str]
     """`keep` (default: all columns) and n_words, n_base, first_word, last_word, base_labels, matches, labels, score.
 
     Blocks are the lines of a text. matches has each (block, template) whose containment of the template's tokens reaches the threshold:
-    no candidate is left out. labels joins the labels of phrases and matches. score is 1 with a phrase, else the largest containment of
+    no candidate is left out. A template that no line holds is looked for over line ends too (wrapped). labels joins the labels of phrases and matches. score is 1 with a phrase, else the largest containment of
     a match, else 0. The templates are a parameter and part of the plan; the corpus gives only one count for each of their tokens. Null
     or empty text: no words, places null, no labels, score 0. Repeated rows each get the same values. Columns with the new names give way."""
     new = ["n_words", "n_base", "first_word", "last_word", "base_labels", "matches", "labels", "score"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
     order = by_rarity(docs, sorted({t for _, x in templates for t in tokens(x)}), text)
     low = lower_ascii(F.coalesce(docs[text], F.lit("")))
-    found = docs.select(*(docs[c] for c in kept), let(low, lambda x: F.struct(phrases(x).alias("p"), matches(block_tokens(x, order), order, templates, threshold).alias("m"))).alias("_f"))
+    found = docs.select(*(docs[c] for c in kept), let(low, lambda x: F.struct(phrases(x).alias("p"), let(block_tokens(x, order), lambda b: F.concat(matches(b, order, templates, threshold), wrapped(x, b, templates, threshold))).alias("m"))).alias("_f"))
     labels = F.array_sort(F.array_union("base_labels", F.transform("matches", lambda m: m["label"])))
     score = F.when(F.size("base_labels") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0)))
     return found.select(*kept, "_f.p.*", F.col("_f.m").alias("matches")).select("*", labels.alias("labels"), score.alias("score"))

@@ -163,6 +163,25 @@ def test_licences(spark, threshold):
     assert licenses.scan(spark.createDataFrame([], COLUMNS)).count() == 0
 
 
+def test_wrapped_licences(spark):
+    """Long templates broken over lines, plain and as comments; their words far apart are none."""
+    import random
+    import textwrap
+
+    rng, rows, want = random.Random(2), [], {}
+    for label, template in licenses.TEMPLATES:
+        for width, prefix in ((24, ""), (72, " * "), (40, "# ")):
+            text = prose(rng, 30) + "\n" + textwrap.fill(template, width, initial_indent=prefix, subsequent_indent=prefix) + "\n" + prose(rng, 30)
+            want[len(rows)] = label
+            rows.append((len(rows), text))
+    long = [x for _, x in licenses.TEMPLATES if len(x) > 100]
+    apart = {len(rows) + i: "\n".join(w + " " + prose(rng, 8) for w in x.split()) for i, x in enumerate(long)}
+    rows += list(apart.items())
+    found = {r["doc_id"]: r for r in rows_of(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert all(label in found[i]["labels"] and found[i]["score"] >= 0.9 for i, label in want.items())
+    assert all(found[i]["matches"][0]["block"] >= 1 for i in want) and not any(found[i]["labels"] for i in apart)
+
+
 # words
 
 
