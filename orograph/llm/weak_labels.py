@@ -22,17 +22,18 @@ N_SHAPES = 8
 
 def shapes(text: bytes) -> np.ndarray:
     """Shares from 0 to 1: symbols, words in repeated windows of three, most frequent word, capitals, lines without the end of a sentence, words of one or two bytes, shortness, words of abuse (times 20)."""
-    n = repeats = short = most = 0
+    n = short = 0
     seen: Counter = Counter()
+    counts: Counter = Counter()
     abuse, carry = 0, []
     for ws in words(text, None):
         seen.update(zip(carry + ws, (carry + ws)[1:], (carry + ws)[2:]))
         carry = (carry + ws)[-2:]
         n += len(ws)
         short += sum(len(w) < 3 for w in ws)
-        most = max(most, Counter(ws).most_common(1)[0][1] if ws else 0)
+        counts.update(ws)
         abuse += sum(w in ABUSIVE for w in b" ".join(ws).translate(ALNUM).split())
-    repeats = sum(c for c in seen.values() if c > 1)
+    repeats, most = sum(c for c in seen.values() if c > 1), max(counts.values(), default=0)
     m, k = max(1, n), max(1, len(text))
     lines = [x for x in text.split(b"\n") if x.strip()]
     symbols, capitals = k - len(text.translate(None, bytes(SYMBOLS))) - (not text), k - len(text.translate(None, bytes(range(65, 91)))) - (not text)

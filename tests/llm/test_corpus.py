@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orograph.llm import kneser_ney, line_dedup, packing, sharding, simhash, url_filter, weak_labels
+from orograph.llm import kneser_ney, line_dedup, packing, sharding, simhash, url_filter, weak_labels, words
 from orograph.llm.components import components
 
 from .helpers import COLUMNS, clashing, documents, low, prose, space_words
@@ -380,6 +380,13 @@ def test_classifier_on_held_out_labels(spark):
     assert np.mean([r.kept for r in alone if r.quality == 1 and r.toxic == 0]) > 0.9
 
 
+def test_most_frequent_word_of_a_long_text(monkeypatch):
+    text = b"same " * 300 + b"other words " * 20
+    want = weak_labels.shapes(text)
+    monkeypatch.setattr(words, "SLICE", 100)
+    assert want[2] == 300 / 340 and (weak_labels.shapes(text) == want).all()
+
+
 def test_classifier_on_odd_rows(spark):
     docs = documents(spark)
     found = weak_labels.classify(clashing(docs, "kept"))
