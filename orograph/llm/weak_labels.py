@@ -140,7 +140,7 @@ def classify(docs: DataFrame, known: DataFrame | None = None, *, doc: str = "doc
     known(doc, quality, toxic): judgements of some documents; EM takes them as right, and learns the labellers' accuracies from all documents. Several rows of
     a document count as their largest values, other values than 0 and 1 and documents that it lacks as no vote.
     The votes of all documents are counted by pattern (at most 3**8 x 3**5 rows come to the driver) and give the labellers' accuracies
-    and each pattern's posterior by EM. The scorer is fitted on at most `sample` documents, chosen by a hash of their texts: a bound that doesn't grow with
+    and each pattern's posterior by EM. The scorer is fitted on at most `sample` documents, chosen by a hash of their ids and texts (equal rows are drawn once): a bound that doesn't grow with
     the input, each document being at most `size` bucket numbers; documents of a rarer class weigh more, up to 4 times. All documents are
     scored. A null or empty text has no words and the scores of that. Repeated rows count each, and get the same scores. No rows: no rows.
     Columns with the new names give way."""
@@ -163,15 +163,16 @@ def classify(docs: DataFrame, known: DataFrame | None = None, *, doc: str = "doc
 
     cast = map_texts(docs, text, fields, vote, [doc])
     counts = judged(cast).groupBy("quality_votes", "toxic_votes").agg(F.count("*").alias("n")).collect()
-    total = sum(r.n for r in counts)
     posterior = {}
     for name, prior in (("quality", 0.8), ("toxic", 0.1)):
         tally: Counter = Counter()
         for r in counts:
             tally[r[f"{name}_votes"]] += r.n
         posterior[name] = expectation_maximisation(dict(tally), N_LABELLERS[name], prior, judged=True)[0]
-    share = min(1.0, 1.5 * sample / max(1, total))
-    chosen = docs.select(doc, F.col(text).alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    # by document and text: a text of many documents is drawn as often as it comes, and cannot fill the sample
+    named = docs.select(doc, F.col(text).alias("t")).withColumn("_h", F.xxhash64(F.lit("sample"), F.col(doc), "t"))
+    last = [r._h for r in named.select("_h").distinct().orderBy("_h").limit(sample).collect()][-1:]
+    chosen = named.where(F.col("_h") <= F.lit(last[0] if last else 0)).dropDuplicates(["_h"])
     drawn = [T.StructField("f", T.ArrayType(T.IntegerType(), False), False), T.StructField("s", T.ArrayType(T.DoubleType(), False), False), *fields]
 
     def draw():
@@ -184,8 +185,7 @@ def classify(docs: DataFrame, known: DataFrame | None = None, *, doc: str = "doc
 
         return work
 
-    # copies of one text share a hash, so the limit and not the hash bounds the sample
-    rows = judged(map_texts(chosen.withColumn("_h", F.xxhash64("t")), "t", drawn, draw, [doc, "_h"]).orderBy(F.xxhash64("_h")).limit(sample)).collect()
+    rows = sorted(judged(map_texts(chosen, "t", drawn, draw, [doc, "_h"])).collect(), key=lambda r: r._h)
     weights = {}
     for name in posterior:
         target = np.array([posterior[name][r[f"{name}_votes"]] for r in rows])

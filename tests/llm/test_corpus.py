@@ -380,6 +380,19 @@ def test_classifier_on_held_out_labels(spark):
     assert np.mean([r.kept for r in alone if r.quality == 1 and r.toxic == 0]) > 0.9
 
 
+def test_copies_do_not_fill_the_sample(spark, monkeypatch):
+    """Three texts (one is null) of 100 documents each among 300 others: each is about a sixth of the sample. Equal rows are drawn once."""
+    rng, drawn = random.Random(4), []
+    hot = [None, prose(rng, 31), prose(rng, 47)]
+    texts = [hot[i % 3] for i in range(300)] + [prose(rng, rng.randrange(60, 200)) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000, "equal rows")] * 100
+    fit = weak_labels.fit
+    monkeypatch.setattr(weak_labels, "fit", lambda rows, *a: drawn.append(rows) or fit(rows, *a))
+    assert weak_labels.classify(spark.createDataFrame(rows, "doc_id long, text string"), sample=120).count() == 700
+    found = Counter(-1 if r.doc_id == 1000 else r.doc_id % 3 if r.doc_id < 300 else 3 for r in drawn[0])
+    assert sum(found.values()) == 120 and found[-1] <= 1 and all(6 <= found[k] <= 40 for k in range(3))
+
+
 def test_most_frequent_word_of_a_long_text(monkeypatch):
     text = b"same " * 300 + b"other words " * 20
     want = weak_labels.shapes(text)
