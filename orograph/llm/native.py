@@ -28,6 +28,11 @@ def space_words(text: Column) -> Column:
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+"))
 
 
+def space_word_count(text: Column) -> Column:
+    """How many words space_words has, counted at their first characters."""
+    return F.regexp_count(F.concat(F.lit(" "), F.coalesce(text, F.lit(""))), F.lit(r"[\x20\x09-\x0D][^\x20\x09-\x0D]")).cast("long")
+
+
 def count_of(text: Column, chars: str) -> Column:
     """How many of these characters the text has."""
     return F.length(text) - F.length(F.translate(text, chars, ""))

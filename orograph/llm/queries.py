@@ -104,10 +104,10 @@ def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_line_dedup")
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import marked
-    from .native import space_words
+    from .native import space_word_count
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = marked(docs, carry=[F.col("doc_id"), F.size(space_words(F.col("text"))).cast("long").alias("n_words")])
+    found = marked(docs, carry=[F.col("doc_id"), space_word_count(F.col("text")).alias("n_words")])
     n_cut = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_words", n_cut.alias("n_cut"), F.size("spans").cast("long").alias("n_runs"), "spans")
 

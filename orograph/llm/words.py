@@ -111,5 +111,15 @@ def map_texts(df: DataFrame, text: str, fields: list[T.StructField], start: Call
     return df.select(*(df[c] for c in kept), df[text].alias("_text")).mapInArrow(run, schema)
 
 
+def fresh(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that no column of df has, however it is cased."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        own = next(c for c in itertools.chain([f"_{name}"], (f"_{name}_{i}" for i in itertools.count(2))) if c.lower() not in taken)
+        taken.add(own.lower())
+        out.append(own)
+    return out
+
+
 def flat(lists: Iterable[list]) -> list:
     return list(itertools.chain.from_iterable(lists))

@@ -128,17 +128,44 @@ def test_components_of_a_chain_and_a_star(spark):
 # repeated passages
 
 
-def test_minima_are_those_of_all_windows():
+def test_chosen_are_least_of_all_windows():
     rng = np.random.default_rng(0)
-    for n in (0, 1, 5, 30, 200):
-        h = rng.integers(0, 50 if n == 200 else 1 << 60, n).astype(np.uint64)
-        for w in (1, 4, 25):
-            at = set(line_dedup.minima(h, w).tolist())
-            for s in range(max(0, n - w + 1)):
+    for n in (1, 5, 30, 200):
+        h = rng.integers(1, 50 if n == 200 else 1 << 60, n).astype(np.uint64)
+        for w in (1, 2, 4, 25):
+            counts = rng.random(n) < 0.8
+            at = set(line_dedup.chosen(h, w, counts).tolist()) if n >= w else set()
+            some = [s for s in range(max(0, n - w + 1)) if counts[s]]
+            for s in some:
                 low = {s + i for i in np.nonzero(h[s : s + w] == h[s : s + w].min())[0].tolist()}
                 assert low & at
-            if len(set(h.tolist())) == n and n >= w:
-                assert at == {s + int(h[s : s + w].argmin()) for s in range(n - w + 1)}
+            if len(set(h.tolist())) == n:
+                assert at == {s + int(h[s : s + w].argmin()) for s in some}
+
+
+def brute_spans(texts, min_words=50, min_lines=3):
+    """Words of each text (in order) that lie in a window of words, or of lines with words, that came before."""
+    seen, gone = set(), []
+    for t in texts:
+        w, out, at = space_words(low(t)), set(), 0
+        lines = []
+        for line in low(t).split("\n"):
+            if n := len(space_words(line)):
+                lines.append((at, at + n, tuple(space_words(line))))
+                at += n
+        for kind, n, size in (("words", len(w), min_words), ("lines", len(lines), min_lines)):
+            for i in range(n - size + 1):
+                own = lines[i : i + size]
+                g = (kind, *w[i : i + size]) if kind == "words" else (kind, *(x[2] for x in own))
+                if g in seen:
+                    out |= set(range(i, i + size)) if kind == "words" else set(range(own[0][0], own[-1][1]))
+                seen.add(g)
+        gone.append(out)
+    return gone
+
+
+def spans_of(docs, **how):
+    return {r.doc_id: {i for s in r.spans for i in range(s.start, s.end)} for r in line_dedup.marked(docs.select("doc_id", "text"), **how).collect()}
 
 
 def test_passages(spark):
@@ -157,24 +184,18 @@ def test_passages(spark):
     assert line_dedup.cut(spark.createDataFrame([], COLUMNS)).count() == 0
 
 
-def test_no_passage_repeats_afterwards(spark):
+def test_all_that_came_before_goes(spark):
+    """Equal to brute force on whole documents; nothing else is cut."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    own = {r.doc_id: r.text for r in docs.collect()}
-    seen, must = set(), defaultdict(set)
-    for d in sorted(own):
-        w = space_words(low(own[d]))
-        for i in range(len(w) - 49):
-            if (g := tuple(w[i : i + 50])) in seen and len(set(g)) > 10:
-                must[d] |= set(range(i, i + 50))
-            seen.add(g)
-    found = {r.doc_id: {i for s in r.spans for i in range(s.start, s.end)} for r in line_dedup.marked(docs.select("doc_id", "text")).collect()}
-    assert sum(map(len, must.values())) > 500
-    assert sum(len(must[d] - found[d]) for d in own) <= 0.02 * sum(map(len, must.values()))
-    assert not {d for d in own if found[d] and not must[d] and len(set(space_words(own[d]))) > 60}
-
-
-def test_passages_behind_parts_of_them(spark):
-    """Every repeat of 50 words goes, also where an earlier document has a part of the passage that is too short itself."""
+    own = sorted((r.doc_id, r.text) for r in docs.collect())
+    want = brute_spans([t for _, t in own])
+    assert sum(map(len, want)) > 500
+    assert spans_of(docs) == {d: w for (d, _), w in zip(own, want)}
+
+
+@pytest.mark.parametrize("how", [{}, {"min_words": 9, "min_lines": 1}, {"min_words": 20, "min_lines": 4}])
+def test_passages_behind_parts_of_them(spark, how):
+    """Every repeat goes, also where an earlier document has a part of the passage that is too short itself, and short lines in runs, in periodic texts and among other lines."""
     rng = random.Random(9)
     texts = []
     for n in (50, 55, 60, 70, 97):
@@ -182,16 +203,27 @@ def test_passages_behind_parts_of_them(spark):
             passage = prose(rng, n, 99999).split()
             at = (n - 49) // 2
             texts += [" ".join(x) for x in (passage[at : at + 49], prose(rng, 20, 99999).split() + passage + prose(rng, 20, 99999).split(), prose(rng, 7, 99999).split() + passage + prose(rng, 9, 99999).split())]
-    texts += ["x " * 120, "a b c d e f g h i j k l m " * 12]
-    seen, want = set(), defaultdict(set)
-    for d, t in enumerate(texts):
-        w = space_words(low(t))
-        for i in range(len(w) - 49):
-            if (g := tuple(w[i : i + 50])) in seen:
-                want[d] |= set(range(i, i + 50))
-            seen.add(g)
+    menu = ["Home", "About  us", "", "Contact", "Sign in", " ", "More of this"]
+    texts += ["x " * 120, "a b c d e f g h i j k l m " * 12, "\n".join(["same line here."] * 40), "\n".join(["One of two", "two of two"] * 20 + ["end"]), "\n \n"]
+    texts += ["\n".join([prose(rng, 12, 99999), *menu, prose(rng, 12, 99999)]) for _ in range(6)] + ["\n".join([prose(rng, 3), *menu[:4], prose(rng, 3), *menu[2:]]).upper().replace("SS", "ß") for _ in range(6)]
+    texts += ["\n".join(rng.choice(["one", "two", "three four", "five"]) for _ in range(rng.randrange(1, 30))) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert spans_of(docs, **how) == dict(enumerate(brute_spans(texts, **how)))
+
+
+def test_long_texts_and_clashing_names(spark, monkeypatch):
+    """Texts of several slices, cut into units at once; helper names that the input has."""
+    rng = random.Random(2)
+    long = "\n".join(prose(rng, 30, 99999) for _ in range(400))
+    texts = [long, long[5000:60000], prose(rng, 90, 99999) + long[-900:], None, "", "a"]
+    want = brute_spans(texts)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {r.doc_id: {i for s in r.spans for i in range(s.start, s.end)} for r in line_dedup.marked(docs).collect() if r.spans} == want
+    monkeypatch.setattr(words, "SLICE", 1000)
+    found = line_dedup.marked(clashing(docs, "_k1", "_K2", "k1", "place", "spans", "_spans", "first"))
+    assert found.columns == ["doc_id", "text", "_k1", "_K2", "k1", "place", "_spans", "first", "spans"] and found.where("_k1 = 'own' and _spans = 'own'").count() == len(texts)
+    assert {r.doc_id: {i for s in r.spans for i in range(s.start, s.end)} for r in found.collect()} == dict(enumerate(want))
+    kept = line_dedup.cut(clashing(docs, "_cut", "_k1"))
+    assert kept.columns == ["doc_id", "text", "_cut", "_k1"] and {r.doc_id for r in kept.collect()} == set(range(6))
 
 
 # sharding

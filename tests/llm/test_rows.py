@@ -98,6 +98,14 @@ def test_quality_counts(spark):
     assert quality.measured(spark.createDataFrame([], COLUMNS)).count() == 0
 
 
+def test_word_counts_agree(spark):
+    from orograph.llm.native import space_word_count
+    from orograph.llm.native import space_words as sw
+
+    for r in documents(spark, [" a\u00a0b c", "\x0b\x0ca\r\n"]).select("text", space_word_count(F.col("text")).alias("n"), F.size(sw(F.col("text"))).alias("m")).collect():
+        assert r.n == r.m == len(space_words(r.text))
+
+
 def test_repeated_words_when_hashes_clash(spark, monkeypatch):
     monkeypatch.setattr(quality, "INDEX_BITS", 60)  # four bits of hash: windows clash all the time
     docs = documents(spark, ["a b c a b c d e f g a b c"]).where("length(text) < 3000")
