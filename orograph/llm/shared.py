@@ -60,12 +60,14 @@ class Folder:
                 f.write(memoryview(np.ascontiguousarray(a)).cast("B") if len(a) else b"")
         fs.move(own, f"{path}/{name}")
 
-    def read(self, name: str, *types: str) -> list[np.ndarray]:
-        """The arrays of a file, memory-mapped; from a store that can't be mapped they are first copied to the task's own temporary folder."""
+    def read(self, name: str, *types: str) -> list[np.ndarray] | None:
+        """The arrays of a file, memory-mapped; from a store that can't be mapped they are first copied to the task's own temporary folder. None if there is no such file."""
         from pyarrow import fs as kinds
 
         fs, path = self._fs()
         file = f"{path}/{name}"
+        if fs.get_file_info(file).type == kinds.FileType.NotFound:
+            return None
         if not isinstance(fs, kinds.LocalFileSystem):
             with tempfile.NamedTemporaryFile() as own:
                 with fs.open_input_stream(file) as f:

@@ -108,7 +108,7 @@ def map_texts(df: DataFrame, text: str, fields: list[T.StructField], start: Call
                 made = [x if isinstance(x, pa.Array) else pa.array(x, type=types.field(len(kept) + i).type) for i, x in enumerate(work(texts_of(part.column(len(kept)))))]
                 yield pa.RecordBatch.from_arrays([*(part.column(i).cast(types.field(i).type) for i in range(len(kept))), *made], schema=types)
 
-    return df.select(*(df[c] for c in kept), df[text].alias("_text")).mapInArrow(run, schema)
+    return df.select(*(df[c] for c in kept), df[text].alias(*fresh(df, "text"))).mapInArrow(run, schema)
 
 
 def fresh(df: DataFrame, *wanted: str) -> list[str]:

@@ -309,54 +309,89 @@ def test_words_encode_as_by_the_tokenizer(spec):
 # Kneser-Ney
 
 
-def test_model_against_brute_force(spark):
-    docs = documents(spark).withColumn("out", F.col("doc_id") % 5 == 2)
+class Plain:
+    """The same model from dictionaries."""
+
+    def __init__(self, texts, order):
+        self.order, tokens = order, [[*space_words(low(t)), "\n"] for t in texts]
+        self.words = Counter(x for w in tokens for x in w)
+        grams = Counter(tuple(p[i : i + order]) for w in tokens for p in [["<"] * (order - 1) + w] for i in range(len(w)))
+        self.counts, self.cuts, self.after = {order: grams}, {}, {}
+        for n in range(order - 1, 0, -1):
+            self.counts[n] = Counter(g[1:] for g in self.counts[n + 1])
+        for n, c in self.counts.items():
+            of = Counter(c.values())
+            self.cuts[n] = kneser_ney.discounts(*(of[i] for i in (1, 2, 3, 4)))
+            self.after[n] = defaultdict(list)
+            for g, k in c.items():
+                self.after[n][g[:-1]].append(k)
+
+    def p(self, g):
+        n = len(g)
+        if not n:
+            return 1 / (len(self.words) + 1)
+        if not (after := self.after[n].get(g[:-1])):
+            return self.p(g[1:])
+        d, k = self.cuts[n], self.counts[n][g]
+        return (k - (d[min(k, 3) - 1] if k else 0)) / sum(after) + sum(d[min(x, 3) - 1] for x in after) / sum(after) * self.p(g[1:])
+
+    def log10(self, text):
+        w = [*space_words(low(text)), "\n"]
+        p = ["<"] * (self.order - 1) + w
+        base = sum(np.log10((self.words[x] + 1) / (sum(self.words.values()) + len(self.words) + 1)) for x in w)
+        return len(w), sum(x in self.words for x in w), round(sum(np.log10(self.p(tuple(p[i : i + self.order]))) for i in range(len(w))), 6), round(base, 6)
+
+
+@pytest.mark.parametrize(("order", "key", "shard"), [(2, 64, 4_000_000), (2, 8, 500), (3, 64, 500), (4, 30, 2000)])
+def test_model_against_brute_force(spark, monkeypatch, order, key, shard):
+    """Numbers side by side in the keys, and hashed into them; one shard, and many with dealt-out contexts."""
+    monkeypatch.setattr(kneser_ney, "KEY", key)
+    monkeypatch.setattr(kneser_ney, "GRAMS", shard)
+    docs = documents(spark, [prose(random.Random(i), 300, 20) for i in range(6)]).withColumn("out", F.col("doc_id") % 5 == 2)
     learned, everything = docs.where("out is null or not out"), [(r.doc_id, r.text) for r in docs.collect()]
-    model = kneser_ney.train(learned)
-    tokens = lambda t: [*space_words(low(t)), "\n"]
-    own = [tokens(r.text) for r in learned.collect()]
-    pairs = Counter(p for w in own for p in zip(["<", *w], w))
-    uni, contexts = Counter(x for w in own for x in w), Counter(w for _, w in pairs)
-    n_of = Counter(pairs.values())
-    d, low_d = kneser_ney.discounts(*(n_of[i] for i in (1, 2, 3, 4))), kneser_ney.discounts(*(Counter(contexts.values())[i] for i in (1, 2, 3, 4)))
-    total = sum(contexts.values())
-    g0 = sum(low_d[min(c, 3) - 1] for c in contexts.values()) / total
-    by = defaultdict(list)
-    for (h, _), c in pairs.items():
-        by[h].append(c)
-    p1 = lambda w: (contexts[w] - (low_d[min(contexts[w], 3) - 1] if contexts[w] else 0)) / total + g0 / (len(uni) + 1)
-
-    def p(h, w):
-        if h not in by:
-            return p1(w)
-        c = pairs[h, w]
-        return (c - (d[min(c, 3) - 1] if c else 0)) / sum(by[h]) + sum(d[min(x, 3) - 1] for x in by[h]) / sum(by[h]) * p1(w)
-
-    h = max(by, key=lambda x: len(by[x]))
-    assert sum(p(h, w) for w in uni) + p(h, "never seen") == pytest.approx(1)
-    want = Counter()
-    for i, t in everything:
-        w = tokens(t)
-        base = sum(np.log10((uni[x] + 1) / (sum(uni.values()) + len(uni) + 1)) for x in w)
-        want[i, len(w), sum(x in uni for x in w), round(sum(np.log10(p(a, b)) for a, b in zip(["<", *w], w)), 6), round(base, 6)] += 1
-    got = model.score(clashing(docs, "score")).collect()
+    plain = Plain([r.text for r in learned.collect()], order)
+    for h in list(plain.after[order])[:3]:
+        assert sum(plain.p((*h, w)) for w in plain.words) + plain.p((*h, "never seen")) == pytest.approx(1)
+    model = kneser_ney.train(learned, order=order)
+    want = Counter((i, *plain.log10(t)) for i, t in everything)
+    got = model.score(clashing(docs, "score", "_text", "part")).collect()
     assert Counter((r.doc_id, r.n_tokens, r.n_known, round(r.score, 6), round(r.base_score, 6)) for r in got) == want
     model.delete()
 
 
-def test_model_of_nothing(spark):
-    model = kneser_ney.train(spark.createDataFrame([], COLUMNS))
+@pytest.mark.parametrize("order", [2, 3])
+def test_model_of_nothing(spark, order):
+    model = kneser_ney.train(spark.createDataFrame([], COLUMNS), order=order)
     r = model.score(spark.createDataFrame([(1, "a b")], "doc_id long, text string")).first()
     assert (r.n_tokens, r.n_known, r.base_score, r.score) == (3, 0, 0.0, 0.0)
+    assert model.score(spark.createDataFrame([], COLUMNS)).count() == 0
     model.delete()
 
 
-def test_packed_pairs_come_back():
+@pytest.mark.parametrize(("n", "bits"), [(2, 21), (3, 22), (2, 40)])
+def test_packed_grams_come_back(n, bits):
+    """Counts above 2**32 and word numbers above 2**32 too."""
     rng = np.random.default_rng(0)
-    keys = np.unique(rng.integers(0, 1 << 45, 1000).astype(np.uint64))
-    counts = rng.integers(1, 1 << 30, len(keys)).astype(np.uint32)
-    a, b = kneser_ney.unpacked(kneser_ney.packed(keys, counts))
-    assert (a == keys).all() and (b == counts).all()
+    codec = kneser_ney.Grams(n, bits)
+    ids = [rng.integers(0, 1 << bits, 1000).astype(np.uint64) for _ in range(n)]
+    keys, counts, *ids = kneser_ney.summed(codec.keys(ids), rng.integers(1, 1 << 40, 1000), *ids)
+    a, b, *c = codec.unpack(codec.pack(keys, counts, ids))
+    assert (a == keys).all() and (b == counts).all() and all((x == y).all() for x, y in zip(codec.ids(a) if codec.whole else c, ids))
+    assert (kneser_ney.Grams(n, bits).keys(ids) == keys).all()
+
+
+def test_counts_beyond_32_bits(spark):
+    """A pair that comes 2**33 times: counts go through shuffles, sums and files whole."""
+    model = kneser_ney.train(spark.createDataFrame([(1, "a b"), (2, "a c")], "doc_id long, text string"))
+    v, codec = model.vocabulary, model.codecs[2]
+    ids, _, _ = v.tokens_of([b"a b"], 2)
+    keys, counts, *own = kneser_ney.summed(codec.keys(ids), np.full(3, 1 << 33, np.int64), *ids)
+    blobs = spark.createDataFrame(kneser_ney.dealt(model, 2, keys, counts, own, v.counts(own[0])).to_pylist() * 2, "shard int, blob binary")
+    said = kneser_ney.stored(blobs, 2, model).where(f"what = {kneser_ney.CONTEXT}").groupBy("key").agg(F.sum("c").alias("c"), F.sum("n3").alias("n3")).collect()
+    assert {(r.key, r.c, r.n3) for r in said} == {(int(i), 1 << 34, 1) for i in own[0]}
+    fresh = kneser_ney.Table(model.folder, "grams2", "<u8")
+    assert fresh.look_up(model.shard(2, own, keys, v.counts(own[0])), keys, 0)[0].tolist() == [1 << 34] * 3
+    model.delete()
 
 
 # url filter
