@@ -386,11 +386,11 @@ def test_counts_beyond_32_bits(spark):
     v, codec = model.vocabulary, model.codecs[2]
     ids, _, _ = v.tokens_of([b"a b"], 2)
     keys, counts, *own = kneser_ney.summed(codec.keys(ids), np.full(3, 1 << 33, np.int64), *ids)
-    blobs = spark.createDataFrame(kneser_ney.dealt(model, 2, keys, counts, own, v.counts(own[0])).to_pylist() * 2, "shard int, blob binary")
+    blobs = spark.createDataFrame(kneser_ney.dealt(model, 2, keys, counts, own, model.hot(v.counts(own[0]))).to_pylist() * 2, "shard int, blob binary")
     said = kneser_ney.stored(blobs, 2, model).where(f"what = {kneser_ney.CONTEXT}").groupBy("key").agg(F.sum("c").alias("c"), F.sum("n3").alias("n3")).collect()
     assert {(r.key, r.c, r.n3) for r in said} == {(int(i), 1 << 34, 1) for i in own[0]}
     fresh = kneser_ney.Table(model.folder, "grams2", "<u8")
-    assert fresh.look_up(model.shard(2, own, keys, v.counts(own[0])), keys, 0)[0].tolist() == [1 << 34] * 3
+    assert fresh.look_up(model.shard(2, own, keys, model.hot(v.counts(own[0]))), keys, 0)[0].tolist() == [1 << 34] * 3
     model.delete()
 
 
