@@ -201,7 +201,7 @@ def repeated(docs: DataFrame, *, min_words: int = 50, min_lines: int = 3) -> Dat
     places = materialised(every.join(again, "fp").withColumn("place", place()))
     folder.delete()
     contexts = materialised(places.groupBy("fp", "context").agg(F.min("place").alias("first"), F.count("*").alias("n")))
-    several = contexts.groupBy("fp").agg(F.count("*").alias("contexts")).where("contexts > 1").select("fp")
+    several = materialised(contexts.groupBy("fp").agg(F.count("*").alias("contexts")).where("contexts > 1").select("fp"))
     open_ = contexts.join(several, "fp", "left_semi").select("fp", "context", F.lit(True).alias("open"))
     known = materialised(contexts.join(open_, ["fp", "context"], "left").where("n > 1 or open").select("fp", "context", "first", F.coalesce("open", F.lit(False)).alias("open")))
     marked = materialised(places.join(known, ["fp", "context"]).where("place > first or open").select("k1", "k2", "start", "end", "lines", (F.col("place") > F.col("first")).alias("later")))
