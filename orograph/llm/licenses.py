@@ -1,4 +1,4 @@
-"""Licence notices in text blocks: phrases, and an exact containment join with templates, as column expressions."""
+"""Licence notices in texts: phrases, and an exact containment join of word windows with templates, as column expressions."""
 
 from __future__ import annotations
 
@@ -8,116 +8,165 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .native import BETWEEN, let, lower_ascii
+from .words import fresh
 
 #: Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Public notices and short licence lines, by label.
+#: Public notices, whole and by their telling sentences, and short licence lines, by label.
 TEMPLATES = [
     ("apache", "Licensed under the Apache License"),
     ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    (
+        "apache",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+    http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+    WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    ),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    (
+        "bsd",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must
+    retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+    the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS
+    OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    ),
+    ("bsl", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-nc", "Licensed under CC BY-NC"),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("cc-by-sa", "Licensed under CC BY-SA"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("gpl", "This work is licensed under the GNU General Public License"),
     ("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    (
+        "gpl",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the
+    License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS
+    FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    ),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    (
+        "isc",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice
+    appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.""",
+    ),
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    (
+        "mit",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction,
+    including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,
+    subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS",
+    WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    ),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
     ("reserved", "All rights reserved"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("wtfpl", "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software"),
 ]
 
 
-def tokens(text: str) -> list[str]:
-    """Distinct words of a template."""
+def words(text: str) -> list[str]:
+    """Words of a template, as in texts."""
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
-    return sorted(set("".join(c if c.isdigit() or "a" <= c <= "z" or ord(c) > 127 else " " for c in low).split()))
+    return "".join(c if c in "0123456789" or "a" <= c <= "z" or ord(c) > 127 else " " for c in low).split()
 
 
-def strings(values: list[str]) -> Column:
-    return F.array(*(F.lit(v) for v in values)) if values else F.array().cast("array<string>")
+def tokens(text: str) -> list[str]:
+    return sorted(set(words(text)))
 
 
-def block_tokens(text: Column, order: list[str]) -> Column:
-    """For each line of a lower-cased text, those of the given tokens that it has, in the given order. A null or empty text is one empty block."""
-    return F.transform(F.split(text, "\n"), lambda line: F.array_intersect(strings(order), F.split(line, BETWEEN)))
+def need(text: str, threshold: float) -> int:
+    """How many of its distinct words a window must have."""
+    return max(1, math.ceil(threshold * len(tokens(text)) - 1e-9))
 
 
-def by_rarity(docs: DataFrame, vocabulary: list[str], text: str) -> list[str]:
-    """The templates' tokens, those first that the fewest blocks have; counted over all blocks, a row for each token."""
-    found = docs.select(F.explode(block_tokens(lower_ascii(F.coalesce(docs[text], F.lit(""))), vocabulary)).alias("b")).select(F.explode("b").alias("token"))
-    counts = {r.token: r.n for r in found.groupBy("token").agg(F.count("*").alias("n")).collect()}
-    return sorted(vocabulary, key=lambda t: (counts.get(t, 0), t))
+def width(text: str, threshold: float) -> int:
+    """Words of the windows that are held against a template."""
+    return math.ceil(len(words(text)) / threshold - 1e-9)
 
 
-def matches(blocks: Column, order: list[str], templates: list[tuple[str, str]], threshold: float) -> Column:
-    """array<struct<block int, label string, containment double>> of all blocks that hold at least `threshold` of a template's tokens.
+def strings(values: list[str]) -> Column:
+    return F.array(*(F.lit(v) for v in values)) if values else F.array().cast("array<string>")
 
-    Tokens are in one global order, rarest first. A template that needs r of its n tokens shares with each match one of its first
-    n - r + 1 (prefix filter); a block needs r tokens (length filter), and r from the first shared one on (positional filter)."""
-    plans = []
-    for label, template in templates:
-        own = sorted(tokens(template), key=order.index)
-        need = max(1, math.ceil(threshold * len(own) - 1e-9))
-        plans.append((label, own, need, own[: len(own) - need + 1]))
-    heads = strings(sorted({t for p in plans for t in p[3]}))
 
-    def meets(b: Column, own: list[str], need: int, head: list[str]) -> Column:
-        def far(x: Column) -> Column:
-            after = F.least(F.lit(len(own)) - F.array_position(strings(own), x), F.size(b).cast("long") - F.array_position(b, x)) + 1
-            return (after >= need) & (F.size(F.array_intersect(strings(own), b)) >= need)
+def spaced(text: Column) -> Column:
+    """The words of a text, lower case, with two blanks between them and none around."""
+    return F.btrim(F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN, "  "))
 
-        shared = F.get(F.array_intersect(b, strings(head)), F.lit(0))
-        return (F.size(b) >= need) & F.arrays_overlap(b, strings(head)) & let(shared, far)
 
-    def of_template(numbered: Column, label: str, own: list[str], need: int, head: list[str]) -> Column:
-        hits = F.filter(numbered, lambda x: meets(x["b"], own, need, head))
-        return F.transform(hits, lambda x: F.struct(x["i"].alias("block"), F.lit(label).alias("label"), (F.size(F.array_intersect(strings(own), x["b"])) / F.lit(float(len(own)))).alias("containment")))
+def split(inner: Column) -> Column:
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, "  "))
 
-    def found(numbered: Column) -> Column:
-        return F.when(F.size(numbered) == 0, F.array().cast("array<struct<block:int,label:string,containment:double>>")).otherwise(F.concat(*(of_template(numbered, *p) for p in plans)))
 
-    numbered = F.filter(F.transform(blocks, lambda b, i: F.struct(i.alias("i"), b.alias("b"))), lambda x: F.arrays_overlap(x["b"], heads))
-    return let(numbered, found)
+def by_rarity(docs: DataFrame, vocabulary: list[str], text: str) -> list[str]:
+    """The templates' words, those first that the fewest texts have; counted over all texts, a row for each word."""
+    found = docs.select(F.explode(F.array_intersect(strings(vocabulary), split(spaced(docs[text])))).alias("token"))
+    counts = {r.token: r.n for r in found.groupBy("token").agg(F.count("*").alias("n")).collect()}
+    return sorted(vocabulary, key=lambda t: (counts.get(t, 0), t))
+
 
+MATCHES = "array<struct<start:int,label:string,containment:double>>"
 
-def wrapped(low: Column, blocks: Column, templates: list[tuple[str, str]], threshold: float) -> Column:
-    """Matches as in matches(), over line ends, of templates that no single line holds: in as many words in a row as the template has (divided by the
-    threshold), wherever lines end. One for a template, the fullest and first of them; its block is the line where the words begin.
 
-    Words are only looked at in texts whose lines have enough of a template's tokens together."""
-    empty = F.array().cast("array<struct<block:int,label:string,containment:double>>")
+def joined(ws: Column, order: list[str], templates: list[tuple[str, str]], threshold: float) -> Column:
+    """MATCHES of a list of words: windows (as many words as the template has, divided by the threshold) with at least `threshold` of a template's distinct words.
 
-    def of_template(ws: Column, label: str, own: list[str], need: int, width: int) -> Column:
-        mine = strings(own)
-        starts = F.filter(F.sequence(F.lit(0), F.size(ws) - 1), lambda p: F.array_contains(mine, F.get(ws, p)["w"]))
-        hits = F.transform(starts, lambda p: F.struct(F.size(F.array_intersect(mine, F.transform(F.slice(ws, p + 1, F.lit(width)), lambda x: x["w"]))).alias("n"), (-F.get(ws, p)["i"]).alias("at")))
-        best = F.array_max(F.filter(hits, lambda h: h["n"] >= need))
-        return let(best, lambda h: F.when(h.isNull(), empty).otherwise(F.array(F.struct((-h["at"]).alias("block"), F.lit(label).alias("label"), (h["n"] / F.lit(float(len(own)))).alias("containment")))))
+    Words are in one global order, rarest first. A window that has `need` of a template's n words has one of its first n - need + 1 (prefix
+    filter), so an index of these leads from the words of the text to templates; texts with too few of a template's words go (length filter). The rarest word that
+    a window shares has all others of them after it in that order: a place is only looked at if enough words that are no rarer are in its reach (positional filter).
+    Windows begin with a word of the template; of those that overlap the fullest and first is given."""
+    rank = {t: i for i, t in enumerate(order)}
+    plans, index = [], {}
+    for i, (label, template) in enumerate(templates):
+        own = sorted(tokens(template), key=rank.__getitem__)
+        least = need(template, threshold)
+        plans.append(F.struct(F.lit(label).alias("label"), strings(own).alias("own"), strings(own[: len(own) - least + 1]).alias("head"), F.lit(least).alias("need"), F.lit(width(template, threshold)).alias("width")))
+        for t in own[: len(own) - least + 1]:
+            index.setdefault(t, []).append(i)
+    none = F.array().cast(MATCHES)
+    if not index:
+        return none
+    heads = sorted(index)
+    of_head = F.create_map(*(x for t in heads for x in (F.lit(t), F.array(*map(F.lit, index[t])))))
 
-    plans = []
-    for label, template in templates:
-        own = tokens(template)
-        need = max(1, math.ceil(threshold * len(own) - 1e-9))
-        plans.append((label, own, need, math.ceil(len(template.replace("/", " ").split()) / threshold - 1e-9)))
+    def of_template(p: Column, places: Column) -> Column:
+        def able(q: Column) -> Column:
+            first = F.greatest(F.lit(0), q["i"] - p["width"] + 1)
+            after = F.slice(p["own"], F.array_position(p["own"], q["w"]).cast("int"), F.size(p["own"]))
+            return F.array_contains(p["head"], q["w"]) & (F.size(F.array_intersect(after, F.slice(ws, first + 1, q["i"] - first + p["width"]))) >= p["need"])
 
-    def open_(every: Column, own: list[str], need: int) -> Column:
-        return (F.size(F.array_intersect(strings(own), every)) >= need) & ~F.exists(blocks, lambda b: F.size(F.array_intersect(strings(own), b)) >= need)
+        def starts(q: Column) -> Column:
+            return F.filter(F.sequence(F.greatest(F.lit(0), q["i"] - p["width"] + 1), q["i"]), lambda s: F.array_contains(p["own"], F.get(ws, s)))
 
-    lines = F.transform(F.split(low, "\n"), lambda line, i: F.transform(F.filter(F.split(line, BETWEEN), lambda w: w != ""), lambda w: F.struct(i.alias("i"), w.alias("w"))))
+        def best(hits: Column) -> Column:
+            def add(kept: Column, h: Column) -> Column:
+                last = F.get(kept, F.size(kept) - 1)
+                clear = (F.size(kept) == 0) | (h["start"] >= last["start"] + p["width"])
+                return F.when(clear, F.concat(kept, F.array(h))).when(h["n"] > last["n"], F.concat(F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(h))).otherwise(kept)
 
-    def found(every: Column) -> Column:
-        flags = F.array(*(open_(every, own, need) for _, own, need, _ in plans))
-        some = lambda on: F.when(F.exists(on, lambda x: x), let(F.flatten(lines), lambda ws: F.concat(*(F.when(F.get(on, F.lit(k)), of_template(ws, *p)).otherwise(empty) for k, p in enumerate(plans))))).otherwise(empty)
-        return let(flags, some)
+            return F.aggregate(hits, F.array().cast("array<struct<start:int,n:int>>"), add)
 
-    return let(F.array_distinct(F.flatten(blocks)), found)
+        near = F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter(places, able), starts))))
+        hits = F.transform(near, lambda s: F.struct(s.cast("int").alias("start"), F.size(F.array_intersect(p["own"], F.slice(ws, s + 1, p["width"]))).alias("n")))
+        return F.when(F.size(near) == 0, none).otherwise(
+            F.transform(best(F.filter(hits, lambda h: h["n"] >= p["need"])), lambda h: F.struct(h["start"].alias("start"), p["label"].alias("label"), (h["n"] / F.size(p["own"]).cast("double")).alias("containment")))
+        )
 
+    def found(places: Column) -> Column:
+        which = F.array_sort(F.array_distinct(F.flatten(F.transform(places, lambda q: F.element_at(of_head, q["w"])))))
+        # length filter: the whole text must have enough of the template's words
+        open_ = F.filter(F.transform(which, lambda t: F.get(F.array(*plans), t)), lambda p: F.size(F.array_intersect(p["own"], ws)) >= p["need"])
+        return F.flatten(F.transform(open_, lambda p: of_template(p, places)))
 
-def phrases(low: Column) -> Column:
-    """struct<n_words, n_base, first_word, last_word, base_labels array> of a lower-cased text."""
+    places = F.filter(F.transform(ws, lambda w, i: F.struct(i.alias("i"), w.alias("w"))), lambda x: x["w"].isin(heads))
+    return F.when(F.arrays_overlap(ws, strings(heads)), let(places, found)).otherwise(none)
+
+
+def phrases(inner: Column) -> Column:
+    """struct<n_words, n_base, first_word, last_word, base_labels array> of words with two blanks between them."""
 
     def spaces(s: Column) -> Column:
         return F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
@@ -134,22 +183,26 @@ def phrases(low: Column) -> Column:
             F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))).alias("base_labels"),
         )
 
-    inner = F.btrim(F.regexp_replace(low, BETWEEN, "  "))
     return let(F.when(inner == "", F.lit("")).otherwise(F.concat(F.lit(" "), inner, F.lit(" "))), of)
 
 
 def scan(docs: DataFrame, *, text: str = "text", templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.9, keep: list[str] | None = None) -> DataFrame:
     """`keep` (default: all columns) and n_words, n_base, first_word, last_word, base_labels, matches, labels, score.
 
-    Blocks are the lines of a text. matches has each (block, template) whose containment of the template's tokens reaches the threshold:
-    no candidate is left out. A template that no line holds is looked for over line ends too (wrapped). labels joins the labels of phrases and matches. score is 1 with a phrase, else the largest containment of
-    a match, else 0. The templates are a parameter and part of the plan; the corpus gives only one count for each of their tokens. Null
-    or empty text: no words, places null, no labels, score 0. Repeated rows each get the same values. Columns with the new names give way."""
+    Blocks are windows of words, wherever lines end, so that wrapped notices are met like others. matches has, for each template, the windows whose containment of its
+    distinct words reaches the threshold (start: their first word, from 0), the fullest of those that overlap: no candidate is left out. labels joins the labels of phrases
+    and matches. score is 1 with a phrase, else the largest containment of a match, else 0. The templates are a parameter and part of the plan; the corpus gives only one
+    count for each of their words. Texts of any length are gone through whole; work grows with the words and the places of rare template words. Null or empty text: no words, places
+    null, no labels, score 0. Repeated rows each get the same values, no rows give no rows. Columns with the new names give way, others may have any name."""
     new = ["n_words", "n_base", "first_word", "last_word", "base_labels", "matches", "labels", "score"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
     order = by_rarity(docs, sorted({t for _, x in templates for t in tokens(x)}), text)
-    low = lower_ascii(F.coalesce(docs[text], F.lit("")))
-    found = docs.select(*(docs[c] for c in kept), let(low, lambda x: F.struct(phrases(x).alias("p"), let(block_tokens(x, order), lambda b: F.concat(matches(b, order, templates, threshold), wrapped(x, b, templates, threshold))).alias("m"))).alias("_f"))
+    (made,) = fresh(docs, "found")
+
+    def of(inner: Column) -> Column:
+        return F.struct(phrases(inner).alias("p"), let(split(inner), lambda ws: joined(ws, order, templates, threshold)).alias("m"))
+
+    found = docs.select(*(docs[c] for c in kept), let(spaced(docs[text]), of).alias(made))
     labels = F.array_sort(F.array_union("base_labels", F.transform("matches", lambda m: m["label"])))
     score = F.when(F.size("base_labels") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0)))
-    return found.select(*kept, "_f.p.*", F.col("_f.m").alias("matches")).select("*", labels.alias("labels"), score.alias("score"))
+    return found.select(*kept, f"{made}.p.*", F.col(f"{made}.m").alias("matches")).select("*", labels.alias("labels"), score.alias("score"))

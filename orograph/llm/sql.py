@@ -54,14 +54,17 @@ select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, no
 
 def license_scan() -> str:
     phrases = ", ".join(f"({text(label)}, [{', '.join(map(text, p.split()))}])" for p, label in licenses.PHRASES.items())
-    templates = ", ".join(f"({text(label)}, [{', '.join(map(text, licenses.tokens(t)))}])" for label, t in licenses.TEMPLATES)
-    return f"""with d as (select doc_id, {lowered('text')} as t from documents), w as (select doc_id, {words('t', PLAIN)} as ws from d),
-phrases(label, p) as (values {phrases}), templates(label, own) as (values {templates}),
+    templates = ", ".join(f"({i}, {text(label)}, {licenses.need(t, 0.9)}, {licenses.width(t, 0.9)}, [{', '.join(map(text, licenses.tokens(t)))}])" for i, (label, t) in enumerate(licenses.TEMPLATES))
+    return f"""with w as (select doc_id, {words(lowered('text'), PLAIN)} as ws from documents),
+phrases(label, p) as (values {phrases}), templates(t, label, need, width, own) as (values {templates}),
 places as (select doc_id, label, i - 1 as place from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from w), phrases where ws[i:i + len(p) - 1] = p),
 base as (select doc_id, count(*) as n_base, min(place) as first_word, max(place) as last_word, list_sort(list_distinct(list(label))) as labels from places group by doc_id),
-blocks as (select doc_id, {words('l', PLAIN)} as ws from (select doc_id, unnest(string_split(t, chr(10))) as l from d)),
-found as (select doc_id, label, len(list_intersect(own, ws))::double / len(own) as c, len(list_intersect(own, ws)) >= ceil(0.9::double * len(own) - 1e-9) as meets from blocks, templates where list_has_any(ws, own)),
-matched as (select doc_id, list_distinct(list(label)) as labels, max(c) as c from found where meets group by doc_id)
+vocabulary as (select t, need, width, unnest(own) as word from templates),
+placed as (select doc_id, ws[i] as word, i from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from w)),
+able as (select doc_id, t from placed join vocabulary using (word) group by doc_id, t, need having count(distinct word) >= need),
+own as (select doc_id, t, need, width, word, i from placed join vocabulary using (word) join able using (doc_id, t)),
+windows as (select a.doc_id, a.t, a.i, count(distinct b.word) as n from own a join own b on a.doc_id = b.doc_id and a.t = b.t and b.i between a.i and a.i + a.width - 1 group by a.doc_id, a.t, a.i, a.need having count(distinct b.word) >= a.need),
+matched as (select doc_id, list_distinct(list(label)) as labels, max(n::double / len(own)) as c from windows join templates using (t) group by doc_id)
 select w.doc_id, len(ws)::bigint as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, coalesce(array_to_string(base.labels, ','), '') as base_labels,
   array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(matched.labels, []))), ',') as labels, case when base.labels is not null then 1.0::double else coalesce(c, 0.0::double) end as score
 from w left join base using (doc_id) left join matched using (doc_id)"""

@@ -148,25 +148,29 @@ def brute_places(t):
 
 
 def brute_matches(t, threshold):
-    found = set()
-    for i, line in enumerate(low(t).split("\n")):
-        have = set(plain_words(line))
-        for label, template in licenses.TEMPLATES:
-            own = set(licenses.tokens(template))
-            if len(own & have) >= threshold * len(own) - 1e-9:
-                found.add((i, label, round(len(own & have) / len(own), 9)))
-    return found
+    found, w = [], plain_words(t)
+    for label, template in licenses.TEMPLATES:
+        own, size, last = set(licenses.tokens(template)), licenses.width(template, threshold), None
+        for i in range(len(w)):
+            n = len(own & set(w[i : i + size]))
+            if w[i] not in own or n < threshold * len(own) - 1e-9:
+                continue
+            if last is None or i >= last[0] + size:
+                found.append(last := [i, n, label, own])
+            elif n > last[1]:
+                last[:2] = i, n
+    return Counter((i, label, round(n / len(own), 9)) for i, n, label, own in found)
 
 
 @pytest.mark.parametrize("threshold", [0.6, 0.9])
 def test_licences(spark, threshold):
-    mit, apache = (x for label, x in licenses.TEMPLATES if len(x) > 100 and label in ("mit", "apache"))
+    mit, apache = (next(x for label, x in licenses.TEMPLATES if len(x) > 100 and label == own) for own in ("mit", "apache"))
     more = ["cc by cc by, CC  BY!", "all rights all rights reserved", "\n".join(x for _, x in licenses.TEMPLATES), mit + " " + apache, " ".join(mit.split()[:-2]), "general public\nlicense", "ALL RIGHTS RESERVED\nthe the the"]
     docs = documents(spark, more)
-    for r in rows_of(licenses.scan(clashing(docs, "score"), threshold=threshold)):
+    for r in rows_of(licenses.scan(clashing(docs, "score", "_found", "_f", "inner"), threshold=threshold)):
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute_places(r["text"])
         want = brute_matches(r["text"], threshold)
-        assert {(m["block"], m["label"], round(m["containment"], 9)) for m in r["matches"]} == want
+        assert Counter((m["start"], m["label"], round(m["containment"], 9)) for m in r["matches"]) == want
         assert r["labels"] == sorted({*r["base_labels"], *(x[1] for x in want)}) and 0 <= r["score"] <= 1
     assert licenses.scan(spark.createDataFrame([], COLUMNS)).count() == 0
 
@@ -182,12 +186,12 @@ def test_wrapped_licences(spark):
             text = prose(rng, 30) + "\n" + textwrap.fill(template, width, initial_indent=prefix, subsequent_indent=prefix) + "\n" + prose(rng, 30)
             want[len(rows)] = label
             rows.append((len(rows), text))
-    long = [x for _, x in licenses.TEMPLATES if len(x) > 100]
+    long = [x for _, x in licenses.TEMPLATES if 100 < len(x)]
     apart = {len(rows) + i: "\n".join(w + " " + prose(rng, 8) for w in x.split()) for i, x in enumerate(long)}
     rows += list(apart.items())
     found = {r["doc_id"]: r for r in rows_of(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))}
     assert all(label in found[i]["labels"] and found[i]["score"] >= 0.9 for i, label in want.items())
-    assert all(found[i]["matches"][0]["block"] >= 1 for i in want) and not any(found[i]["labels"] for i in apart)
+    assert all(found[i]["matches"][0]["start"] >= 30 for i in want) and not any(found[i]["labels"] for i in apart)
 
 
 # words
