@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from .aoi import NODATA
 
 
-def without_nodata(z: Column, nodata: float = NODATA) -> Column:
+def quoted(name: str) -> str:
+    """A column's name in SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def without_nodata(z: Column, nodata: float | Column = NODATA) -> Column:
     """NoData becomes null."""
-    return F.nullif(z, F.lit(nodata).cast("float"))
+    return F.nullif(z, (nodata if isinstance(nodata, Column) else F.lit(nodata)).cast("float"))
 
 
 def valid(v: Column) -> Column:

@@ -1,4 +1,4 @@
-"""WGS84 to UTM and back by Krueger's series to the fourth order, as Column expressions."""
+"""WGS84 to UTM (by Krueger's series to the fourth order) and to Web Mercator and back, as Column expressions."""
 
 from __future__ import annotations
 
@@ -21,7 +21,7 @@ DELTA = (2 * N - 2 * N**2 / 3 - 2 * N**3 + 116 * N**4 / 45, 7 * N**2 / 3 - 8 * N
 def zone_of(epsg: int) -> tuple[float, float]:
     """Central meridian in degrees and false northing of 32601-32660 and 32701-32760; other systems are refused."""
     if not (32601 <= epsg <= 32660 or 32701 <= epsg <= 32760):
-        raise ValueError(f"EPSG:{epsg} is neither WGS84 (4326) nor a UTM zone on WGS84")
+        raise ValueError(f"EPSG:{epsg} is neither WGS84 (4326), Web Mercator (3857) nor a UTM zone on WGS84")
     return 6.0 * (epsg % 100) - 183.0, SOUTH if epsg >= 32700 else 0.0
 
 
@@ -63,3 +63,21 @@ def to_utm_number(lon: float, lat: float, epsg: int) -> tuple[float, float]:
     x = eta + sum(a * math.cos(2 * j * xi) * math.sinh(2 * j * eta) for j, a in enumerate(ALPHA, 1))
     y = xi + sum(a * math.sin(2 * j * xi) * math.cosh(2 * j * eta) for j, a in enumerate(ALPHA, 1))
     return EAST + SCALE * RADIUS * x, north + SCALE * RADIUS * y
+
+
+def to_system_number(lon: float, lat: float, epsg: int) -> tuple[float, float]:
+    """One point in a system: UTM on WGS84, Web Mercator (3857), or degrees as they are (4326)."""
+    if epsg == 4326:
+        return lon, lat
+    if epsg == 3857:
+        return AXIS * math.radians(lon), AXIS * math.asinh(math.tan(math.radians(lat)))
+    return to_utm_number(lon, lat, epsg)
+
+
+def from_system(x: Column, y: Column, epsg: int) -> tuple[Column, Column]:
+    """Longitude and latitude in degrees of places in a system."""
+    if epsg == 4326:
+        return x, y
+    if epsg == 3857:
+        return F.degrees(x / AXIS), F.degrees(F.atan(F.sinh(y / AXIS)))
+    return from_utm(x, y, epsg)

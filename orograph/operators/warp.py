@@ -4,74 +4,95 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.projection import from_utm, to_utm_number
+from ..functions.cells import quoted
+from ..functions.projection import from_system, to_system_number
 from .grid import Grid, mosaic
 
 
 def target_grid(west: float, south: float, east: float, north: float, epsg: int, res: float, steps: int = 64) -> Grid:
-    """The smallest grid on multiples of res that covers the box; the box's sides are followed at `steps` points each. EPSG 4326 keeps degrees."""
+    """The smallest grid on multiples of res that covers the box; the box's sides are followed at `steps` points each. EPSG 4326 keeps degrees, 3857 is Web Mercator."""
     points = [(west + (east - west) * i / steps, y) for i in range(steps + 1) for y in (south, north)] + [(x, south + (north - south) * i / steps) for i in range(steps + 1) for x in (west, east)]
-    xs, ys = zip(*(p if epsg == 4326 else to_utm_number(*p, epsg) for p in points))
+    xs, ys = zip(*(to_system_number(*p, epsg) for p in points))
     x0, x1, y0, y1 = math.floor(min(xs) / res), math.ceil(max(xs) / res), math.floor(min(ys) / res), math.ceil(max(ys) / res)
     return Grid(epsg, x0 * res, y1 * res, res, y1 - y0, x1 - x0)
 
 
-def taps(u: Column, method: str) -> tuple[Column, list[Column]]:
-    """First source cell and the weights of the cells from there on, for a position in cells (a cell's middle is at its number and a half)."""
-    if method not in ("near", "bilinear", "cubic"):
-        raise ValueError(f"resampling is near, bilinear or cubic, not {method}")
+#: Names of the methods, as raster tools have them, and how many source cells each weighs along a side.
+METHODS = {"near": 1, "bilinear": 2, "cubic": 4, "cubicspline": 4, "lanczos": 6}
+
+
+def taps(u: str, method: str) -> tuple[str, list[str]]:
+    """As SQL: first source cell, and the weights of the cells from there on in t, for a position u in cells (a cell's middle is at its number and a half). t is how far the position is past the middle of the last of the first half of these cells."""
+    if method not in METHODS:
+        raise ValueError(f"resampling is one of {', '.join(METHODS)}, not {method}")
     if method == "near":
-        return F.floor(u).cast("int"), [F.lit(1.0)]
-    first, t = F.floor(u - 0.5).cast("int"), u - 0.5 - F.floor(u - 0.5)
-    if method == "bilinear":
-        return first, [1 - t, t]
-    # Keys' kernel, a = -1/2
-    return first - 1, [((2 - t) * t - 1) * t / 2, ((3 * t - 5) * t * t + 2) / 2, ((4 - 3 * t) * t + 1) * t / 2, (t - 1) * t * t / 2]
+        return f"cast(floor({u}) as int)", ["1D"]
+    weights = {
+        "bilinear": ["1 - t", "t"],
+        # Keys' kernel, a = -1/2
+        "cubic": ["((2 - t) * t - 1) * t / 2", "((3 * t - 5) * t * t + 2) / 2", "((4 - 3 * t) * t + 1) * t / 2", "(t - 1) * t * t / 2"],
+        # the cubic B-spline
+        "cubicspline": ["(1 - t) * (1 - t) * (1 - t) / 6", "((3 * t - 6) * t * t + 4) / 6", "(((3 - 3 * t) * t + 3) * t + 1) / 6", "t * t * t / 6"],
+        # sinc(x) sinc(x / 3) within three cells
+        "lanczos": [f"case when abs(t + {k}) < 1e-9 then 1D else 3 * sin(pi() * (t + {k})) * sin(pi() * (t + {k}) / 3) / (pi() * pi() * (t + {k}) * (t + {k})) end" for k in (2, 1, 0, -1, -2, -3)],
+    }[method]
+    return f"cast(floor({u} - 0.5D) as int) - {METHODS[method] // 2 - 1}", weights
+
+
+#: Source cells along a side of the squares that are kept together for the join; no less than a method reaches.
+SIDE = 64
 
 
-#: Cells of a source row that are kept together for the join.
-STRIP = 64
+def squares(source: DataFrame, value: str, reach: int) -> DataFrame:
+    """(br, bc, zs): the source in squares of SIDE cells and the `reach` rows and columns after them, as zs[row][column]; null where there is no value.
 
+    One shuffle of the cells: rows of a square, and then the square, are put together within its task."""
 
-def strips(source: DataFrame, value: str, reach: int) -> DataFrame:
-    """(sr, b, zs): each source row in pieces of STRIP cells, and the `reach` cells after them; null where there is no value."""
-    c = F.col("c")
-    parts = F.array_distinct(F.array(F.floor(c / STRIP).cast("int"), F.floor((c - reach) / STRIP).cast("int")))
-    cells = source.where(F.col(value).isNotNull()).select(F.col("r").alias("sr"), c, F.col(value).cast("double").alias("z"), F.explode(parts).alias("b"))
-    held = cells.groupBy("sr", "b").agg(F.map_from_entries(F.collect_list(F.struct((c - F.col("b") * STRIP).alias("k"), "z"))).alias("m"))
-    return held.select("sr", "b", F.transform(F.sequence(F.lit(0), F.lit(STRIP + reach - 1)), lambda k: F.try_element_at("m", k)).alias("zs"))
+    def whole(x: str, k: str) -> str:
+        return f"transform(sequence(0, {SIDE + reach - 1}), i -> try_element_at(map_from_entries(collect_list(struct({k}, {x}))), i))"
+
+    cells = source.where(F.col(value).isNotNull()).selectExpr("r", "c", f"cast({quoted(value)} as double) as z", f"explode(array_distinct(array(cast(floor(r / {SIDE}) as int), cast(floor((r - {reach}) / {SIDE}) as int)))) as br")
+    cells = cells.selectExpr("r", "c", "z", "br", f"explode(array_distinct(array(cast(floor(c / {SIDE}) as int), cast(floor((c - {reach}) / {SIDE}) as int)))) as bc")
+    rows = cells.selectExpr("br", "bc", f"cast(r - br * {SIDE} as int) as kr", f"cast(c - bc * {SIDE} as int) as kc", "z").repartition("br", "bc").groupBy("br", "bc", "kr").agg(F.expr(whole("z", "kc")).alias("zs"))
+    return rows.groupBy("br", "bc").agg(F.expr(whole("zs", "kr")).alias("zs"))
 
 
 def resampled(source: DataFrame, target: DataFrame, method: str = "cubic", value: str = "z") -> DataFrame:
     """(r, c, value) of target(r, c, u, v), u and v being its column and row position in source cells: weighted means over cells with a value, null where none has (or the weights cancel out).
 
-    source has at most one row a place. Its rows are cut into strips with a few cells of overlap, so that a target cell asks once for each source row it needs
-    (1, 2 or 4 times) and not for each cell; answers meet by an equi-join on row and strip and are added up by target cell."""
-    c0, wc = taps(F.col("u"), method)
-    r0, wr = taps(F.col("v"), method)
-    asked = F.array(*(F.struct((r0 + i).alias("sr"), w.alias("w")) for i, w in enumerate(wr)))
-    wanted = target.select("r", "c", c0.alias("c0"), F.array(*wc).alias("wc"), F.explode(asked).alias("t")).select("r", "c", "t.*", "wc", F.floor(F.col("c0") / STRIP).cast("int").alias("b"), F.pmod("c0", F.lit(STRIP)).alias("k"))
-    met = wanted.join(strips(source, value, len(wc) - 1), ["sr", "b"], "left")
-    found = [(F.get("zs", F.col("k") + j), F.col("w") * F.get("wc", F.lit(j))) for j in range(len(wc))]
-    over = lambda xs: sum(xs[1:], xs[0])
-    some = F.col("zs").isNotNull()
-    met = met.select("r", "c", F.when(some, over([F.coalesce(w * z, F.lit(0.0)) for z, w in found])).alias("s"), F.when(some, over([F.when(z.isNotNull(), w).otherwise(0.0) for z, w in found])).alias("w"), F.when(some, over([z.isNotNull().cast("int") for z, _ in found])).alias("n"))
-    total = met.groupBy("r", "c").agg(F.sum("s").alias("s"), F.sum("w").alias("w"), F.sum("n").alias("n"))
-    return total.select("r", "c", F.when((F.col("n") > 0) & (F.abs("w") > 1e-9), F.col("s") / F.col("w")).alias(value))
+    source has at most one row a place. It is cut into squares with as many cells of overlap as the method reaches, so that each target cell finds all it needs in
+    one square: one equi-join of slim rows with squares, nothing to add up after it."""
+    (c0, wc), (r0, wr) = taps("u", method), taps("v", method)
+    n = len(wc)
+    part = "{x} - 0.5D - floor({x} - 0.5D)"
+
+    def weights(ws: list[str], x: str) -> str:
+        return f"transform(array({part.format(x=x)}), t -> array({', '.join(ws)}))[0]"
+
+    asked = target.selectExpr("r", "c", "u", "v", f"{c0} as c0", f"{r0} as r0")
+    asked = asked.selectExpr("r", "c", f"cast(floor(r0 / {SIDE}) as int) as br", f"cast(floor(c0 / {SIDE}) as int) as bc", f"pmod(r0, {SIDE}) as kr", f"pmod(c0, {SIDE}) as kc", f"{weights(wr, 'v')} as wr", f"{weights(wc, 'u')} as wc")
+    met = asked.join(squares(source, value, n - 1), ["br", "bc"], "left")
+    met = met.selectExpr("r", "c", "wr", "wc", *(f"slice(zs[kr + {i}], kc + 1, {n}) as z{i}" for i in range(n)))
+    cell = [[f"z{i}[{j}]" for j in range(n)] for i in range(n)]
+    over = [f"wr[{i}] * (" + " + ".join(f"wc[{j}] * coalesce({cell[i][j]}, 0D)" for j in range(n)) + ")" for i in range(n)]
+    held = [f"wr[{i}] * (" + " + ".join(f"if({cell[i][j]} is null, 0D, wc[{j}])" for j in range(n)) + ")" for i in range(n)]
+    some = " or ".join(f"{cell[i][j]} is not null" for i in range(n) for j in range(n))
+    sums = met.selectExpr("r", "c", " + ".join(over) + " as s", " + ".join(held) + " as w", f"({some}) as some")
+    return sums.selectExpr("r", "c", f"case when some and abs(w) > 1e-9 then s / w end as {quoted(value)}")
 
 
 def positions(grid: Grid, cells: DataFrame, source: Grid) -> DataFrame:
     """target(r, c, u, v) of a grid's cells over a source grid in degrees; rounded to a millionth of a cell, so that positions on cell borders don't hang on the last bit."""
     x, y = grid.x(F.col("c")), grid.y(F.col("r"))
-    lon, lat = (x, y) if grid.epsg == 4326 else from_utm(x, y, grid.epsg)
+    lon, lat = from_system(x, y, grid.epsg)
     return cells.select("r", "c", F.round((lon - source.x0) / source.res, 6).alias("u"), F.round((source.y0 - lat) / source.res, 6).alias("v"))
 
 
 def mosaic_and_warp(tiles: DataFrame, source: Grid, epsg: int, res: float, method: str = "cubic", value: str = "z") -> tuple[DataFrame, Grid]:
-    """tiles(r, c, ordinal, value) of one grid in degrees, laid over each other and brought onto the UTM grid that covers them."""
+    """tiles(r, c, ordinal, value) of one grid in degrees, laid over each other and brought onto the grid of a system (UTM on WGS84, 3857, 4326) that covers them."""
     south, east = source.y0 - source.nrows * source.res, source.x0 + source.ncols * source.res
     grid = target_grid(source.x0, south, east, source.y0, epsg, res)
     return resampled(mosaic(tiles, F.col("ordinal"), value), positions(grid, grid.cells(tiles.sparkSession), source), method, value), grid

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import aoi, cells, projection
 from .operators import focal, grid, render, warp
-from .sources import geotiff, png
+from .sources import geotiff, png, tiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -110,12 +110,12 @@ def odd_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {AREAS}, {TILES}, {LISTED} select id, tile, ordinal from tiles where tile in (select tile from listed)")
 def tiles_present(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aoi.tiles(areas(spark, sf_dir)).join(listed(spark, sf_dir), "tile", "left_semi").select("id", "tile", "ordinal")
+    return tiles.present(aoi.tiles(areas(spark, sf_dir)), listed(spark, sf_dir)).select("id", "tile", "ordinal")
 
 
 @query(f"with {AREAS}, {TILES}, {LISTED} select id, tile, ordinal from tiles where tile not in (select tile from listed)")
 def tiles_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aoi.tiles(areas(spark, sf_dir)).join(listed(spark, sf_dir), "tile", "left_anti").select("id", "tile", "ordinal")
+    return tiles.missing(aoi.tiles(areas(spark, sf_dir)), listed(spark, sf_dir)).select("id", "tile", "ordinal")
 
 
 # Grids
@@ -326,6 +326,14 @@ def utm_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return at.select("id", F.round(lon, 10).alias("lon"), F.round(lat, 10).alias("lat"))
 
 
+@query("select c_custkey as id, round(degrees(x / 6378137.0::double), 10) as lon, round(degrees(2 * atan(exp(y / 6378137.0::double)) - pi() / 2), 9) as lat from (select c_custkey, -20000000.0::double + (c_custkey * 7919) % 40000 * 1000 as x, -15000000.0::double + (c_custkey * 104729) % 30000 * 1000 as y from customer)")
+def mercator_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    at = table(spark, sf_dir, "customer").select(k.alias("id"), (-20000000.0 + (k * 7919) % 40000 * 1000).alias("x"), (-15000000.0 + (k * 104729) % 30000 * 1000).alias("y"))
+    lon, lat = projection.from_system(F.col("x"), F.col("y"), 3857)
+    return at.select("id", F.round(lon, 10).alias("lon"), F.round(lat, 9).alias("lat"))
+
+
 #: Steps of the box's sides and its bounds in degrees, for the query of the target grid.
 BOX = (-50.0, -26.0, -48.0, -25.0)
 SIDES = f"""(select {BOX[0]}::double + {BOX[2] - BOX[0]}::double * i / 64 as lon0, y as lat0 from range(0, 65) as u(i), (values ({BOX[1]}::double), ({BOX[3]}::double)) as v(y)
@@ -354,10 +362,16 @@ def resample_sql(method: str, z: str = "emb", t: str = "target", digits: int = 6
     elif method == "bilinear":
         side = lambda p: f"(values (floor({p} - 0.5)::int, 1 - ({p} - 0.5 - floor({p} - 0.5))), (floor({p} - 0.5)::int + 1, {p} - 0.5 - floor({p} - 0.5)))"
     else:
+        kernel = {
+            "cubic": "case when {x} <= 1 then 1.5 * {x} ** 3 - 2.5 * {x} ** 2 + 1 else -0.5 * {x} ** 3 + 2.5 * {x} ** 2 - 4 * {x} + 2 end",
+            "cubicspline": "case when {x} < 1 then {x} ** 3 / 2 - {x} ** 2 + 2.0::double / 3 else (2 - {x}) ** 3 / 6 end",
+            "lanczos": "case when {x} < 1e-9 then 1.0::double else 3 * sin(pi() * {x}) * sin(pi() * {x} / 3) / (pi() * {x}) ** 2 end",
+        }[method]
+        reach = range(-2, 4) if method == "lanczos" else range(-1, 3)
+
         def side(p: str) -> str:
-            d = [f"abs({p} - 0.5 - (floor({p} - 0.5) + {i}))" for i in (-1, 0, 1, 2)]
-            w = [f"case when {x} <= 1 then 1.5 * {x} ** 3 - 2.5 * {x} ** 2 + 1 else -0.5 * {x} ** 3 + 2.5 * {x} ** 2 - 4 * {x} + 2 end" for x in d]
-            return "(values " + ", ".join(f"(floor({p} - 0.5)::int + {i}, {x})" for i, x in zip((-1, 0, 1, 2), w)) + ")"
+            d = [f"abs({p} - 0.5 - (floor({p} - 0.5) + {i}))" for i in reach]
+            return "(values " + ", ".join(f"(floor({p} - 0.5)::int + {i}, {kernel.format(x=x)})" for i, x in zip(reach, d)) + ")"
     return f"""select r, c, case when abs(w) > 1e-9 then round(s / w, {digits}) end as z from (
       select t.r, t.c, sum(a.w * b.w * e.z) as s, sum(case when e.z is not null then a.w * b.w end) as w
       from {t} t, lateral {side('t.v')} a(i, w), lateral {side('t.u')} b(i, w) left join {z} e on e.r = a.i and e.c = b.i group by t.r, t.c)"""
@@ -383,6 +397,16 @@ def resample_cubic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(spark, sf_dir, "cubic")
 
 
+@query(f"with {EMB}, {TARGET} {resample_sql('cubicspline')}")
+def resample_cubicspline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(spark, sf_dir, "cubicspline")
+
+
+@query(f"with {EMB}, {TARGET} {resample_sql('lanczos')}")
+def resample_lanczos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(spark, sf_dir, "lanczos")
+
+
 #: The embeddings' grid as two tiles that share columns, laid in degrees; its target in UTM.
 RES_DEGREES, RES_METRES, EPSG = 1 / 256, 500.0, 32722
 
@@ -431,20 +455,28 @@ def pipeline_rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.rgb_composite(found).select("r", "c", "red", "green", "blue", "alpha")
 
 
-# Files: what tasks make of the image (deflated bytes, which SQL has not)
+# Files: what a reader makes of the image's encoded parts
 
 
 def image(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, grid.Grid]:
     return render.rgb_composite(layers(spark, sf_dir)), grid.Grid(EPSG, 0.0, 0.0, RES_METRES, emb_rows(spark, sf_dir), 64)
 
 
-@query()
+@query(f"with {devs(HALVES)}, {LAYERS}, bands as (select r, c, {bands_of(render.ARTWORK_RGB)} from layers) select r, c, red, green, blue from bands")
 def geotiff_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells_, g = image(spark, sf_dir)
-    return geotiff.encoded_blocks(cells_, g, ["red", "green", "blue"], "u1", 0.0)
+    (cells_, g), bands = image(spark, sf_dir), ["red", "green", "blue"]
+    return geotiff.decoded_blocks(geotiff.encoded_blocks(cells_, g, bands, "u1", 0.0), g, bands, "u1")
+
+
+@query(f"with {devs(HALVES)}, {LAYERS} select r, c, dev_micro::float as dev_micro from layers")
+def geotiff_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer of single-precision values as a file's tiles and back; NoData is null again."""
+    found, g = layers(spark, sf_dir).select("r", "c", "dev_micro"), grid.Grid(EPSG, 0.0, 0.0, RES_METRES, emb_rows(spark, sf_dir), 64)
+    back = geotiff.decoded_blocks(geotiff.encoded_blocks(found, g, ["dev_micro"], "f4", aoi.NODATA), g, ["dev_micro"], "f4")
+    return back.withColumn("dev_micro", cells.without_nodata(F.col("dev_micro")))
 
 
-@query()
+@query(f"with {devs(HALVES)}, {LAYERS}, bands as (select r, c, {bands_of(render.ARTWORK_RGB)} from layers) select r, c, red, green, blue, alpha from bands")
 def png_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells_, g = image(spark, sf_dir)
-    return png.deflated_bands(cells_, g, ["red", "green", "blue", "alpha"], 256)
+    (cells_, g), bands = image(spark, sf_dir), ["red", "green", "blue", "alpha"]
+    return png.inflated_bands(png.deflated_bands(cells_, g, bands, 256), g, bands, 256)

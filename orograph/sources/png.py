@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -42,6 +43,20 @@ def deflated_bands(cells: DataFrame, grid: Grid, bands: list[str], rows: int) ->
     return cells.select("r", "c", *bands, number.alias("band")).groupBy("band").applyInPandas(encode, "band int, data binary, adler long, length long")
 
 
+def inflated_bands(packed: DataFrame, grid: Grid, bands: list[str], rows: int) -> DataFrame:
+    """(r, c, bands) of deflated_bands(): what a reader of the image makes of them."""
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for number, data in zip(batch["band"], batch["data"]):
+                raw = np.frombuffer(zlib.decompressobj(-15).decompress(bytes(data)), np.uint8).reshape(-1, 1 + grid.ncols * len(bands))
+                found = np.cumsum(raw[:, 1:].reshape(len(raw), grid.ncols, len(bands)), axis=1, dtype=np.uint8)
+                r, c = (x.ravel() for x in np.indices(found.shape[:2], np.int32))
+                yield pd.DataFrame({"r": r + np.int32(number * rows), "c": c} | {b: found[r, c, i] for i, b in enumerate(bands)})
+
+    return packed.mapInPandas(decode, ", ".join(["r int, c int", *(f"{b} short" for b in bands)]))
+
+
 def write(cells: DataFrame, grid: Grid, path: Path, bands: tuple[str, ...] = ("red", "green", "blue", "alpha")) -> Path:
     """An RGBA (or RGB) image on the driver's disk. cells must be dense."""
     rows = max(1, min(grid.nrows, 1_000_000 // grid.ncols))

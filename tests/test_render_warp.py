@@ -51,8 +51,18 @@ def kernel(x):
     return 1.5 * x**3 - 2.5 * x**2 + 1 if x <= 1 else -0.5 * x**3 + 2.5 * x**2 - 4 * x + 2 if x < 2 else 0.0
 
 
-@pytest.mark.parametrize("method", ["near", "bilinear", "cubic"])
-def test_resampling_against_brute_force(spark, method):
+KERNELS = {
+    "bilinear": (1, lambda x: max(0.0, 1 - abs(x))),
+    "cubic": (2, kernel),
+    "cubicspline": (2, lambda x: (abs(x) ** 3 / 2 - x**2 + 2 / 3) if abs(x) < 1 else (2 - abs(x)) ** 3 / 6 if abs(x) < 2 else 0.0),
+    "lanczos": (3, lambda x: float(np.sinc(x) * np.sinc(x / 3)) if abs(x) < 3 else 0.0),
+}
+
+
+@pytest.mark.parametrize("side", [64, 6])
+@pytest.mark.parametrize("method", ["near", *KERNELS])
+def test_resampling_against_brute_force(spark, monkeypatch, method, side):
+    monkeypatch.setattr(warp, "SIDE", side)
     rng = np.random.default_rng(3)
     z = rng.normal(100, 10, (9, 8))
     z[rng.random(z.shape) < 0.15] = np.nan
@@ -64,7 +74,7 @@ def test_resampling_against_brute_force(spark, method):
         if method == "near":
             taps = {(int(np.floor(v)), int(np.floor(u))): 1.0}
         else:
-            reach, weight = (1, lambda x: max(0.0, 1 - abs(x))) if method == "bilinear" else (2, kernel)
+            reach, weight = KERNELS[method]
             r0, c0 = int(np.floor(v - 0.5)), int(np.floor(u - 0.5))
             taps = {(r, c): weight(v - 0.5 - r) * weight(u - 0.5 - c) for r in range(r0 - reach + 1, r0 + reach + 1) for c in range(c0 - reach + 1, c0 + reach + 1)}
         have = {k: w for k, w in taps.items() if 0 <= k[0] < 9 and 0 <= k[1] < 8 and not np.isnan(z[k])}
@@ -76,13 +86,14 @@ def test_resampling_against_brute_force(spark, method):
 
 def test_other_methods_are_refused():
     with pytest.raises(ValueError):
-        warp.taps(None, "lanczos")
+        warp.taps("u", "mode")
 
 
-def test_plane_survives_the_warp(spark):
+@pytest.mark.parametrize("epsg", [32722, 3857])
+def test_plane_survives_the_warp(spark, epsg):
     source = Grid(4326, -50.0, -25.0, 0.01, 40, 40)
     tiles = spark.range(1600).select(F.floor(F.col("id") / 40).cast("int").alias("r"), (F.col("id") % 40).cast("int").alias("c"), F.lit(0).alias("ordinal"), (F.floor(F.col("id") / 40) * 2 + F.col("id") % 40).cast("double").alias("z"))
-    found, g = warp.mosaic_and_warp(tiles, source, 32722, 2000.0)
+    found, g = warp.mosaic_and_warp(tiles, source, epsg, 2000.0)
     placed = found.join(warp.positions(g, g.cells(spark), source), ["r", "c"]).where("u between 3 and 37 and v between 3 and 37")
     assert placed.count() > 200
     assert placed.select(F.max(F.abs(F.col("z") - ((F.col("v") - 0.5) * 2 + F.col("u") - 0.5)))).first()[0] < 1e-6
