@@ -10,43 +10,82 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import ALNUM, map_texts, words
+from .words import ALNUM, Hashes, fresh, map_texts, words
 
 #: Words of abuse.
 ABUSE = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
-SYMBOLS = frozenset(b"#*$%&|<>{}[]\\^~_=+@")
+ABUSIVE = frozenset(w.encode() for w in ABUSE)
+SYMBOLS = bytes(sorted(b"#*$%&|<>{}[]\\^~_=+@"))
+CAPITALS = bytes(range(65, 91))
+ENDS = (b".", b"!", b"?", b'"', b":", b";", b"\xe2\x80\xa6")
 #: A labeller's vote: 1 for the class (good; toxic), 0 against it, 2 for none.
 FOR, AGAINST, NONE = 1, 0, 2
 N_SHAPES = 8
+#: Bytes of a word's beginning that is a feature of its own, so that forms of one stem count together.
+STEM = 5
 
 
-def shapes(text: bytes) -> np.ndarray:
-    """Shares from 0 to 1: symbols, words in repeated windows of three, most frequent word, capitals, lines without the end of a sentence, words of one or two bytes, shortness, words of abuse (times 20)."""
-    n = short = 0
-    seen: Counter = Counter()
-    counts: Counter = Counter()
-    abuse, carry = 0, []
+def shapes(text: bytes, hashes: Hashes) -> np.ndarray:
+    """Shares from 0 to 1: symbols, words in repeated windows of three, most frequent word, capitals, lines without the end of a sentence, words of one or two bytes, shortness, exclamation marks. hashes: a memory of words, which may be any."""
+    parts = [np.array([], np.uint64)]
+    short = 0
     for ws in words(text, None):
-        seen.update(zip(carry + ws, (carry + ws)[1:], (carry + ws)[2:]))
-        carry = (carry + ws)[-2:]
-        n += len(ws)
+        parts.append(np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws)))
         short += sum(len(w) < 3 for w in ws)
-        counts.update(ws)
-        abuse += sum(w in ABUSIVE for w in b" ".join(ws).translate(ALNUM).split())
-    repeats, most = sum(c for c in seen.values() if c > 1), max(counts.values(), default=0)
-    m, k = max(1, n), max(1, len(text))
+    h = np.concatenate(parts)
+    n, k = len(h), max(1, len(text))
+    three = np.unique((h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1]) * np.uint64(0xBF58476D1CE4E5B9) + h[2:], return_counts=True)[1] if n > 2 else np.zeros(1, np.int64)
+    most = np.unique(h, return_counts=True)[1].max() if n else 0
     lines = [x for x in text.split(b"\n") if x.strip()]
-    symbols, capitals = k - len(text.translate(None, bytes(SYMBOLS))) - (not text), k - len(text.translate(None, bytes(range(65, 91)))) - (not text)
-    loose = sum(not x.rstrip().endswith((b".", b"!", b"?", b'"', b":", b";", b"\xe2\x80\xa6")) for x in lines)
-    return np.minimum(1.0, [8 * symbols / k, repeats / m, most / m, 2 * capitals / k, loose / max(1, len(lines)), short / m, 50 / max(50, 5 * n) * 5 if n < 50 else 0.0, 20 * abuse / m])
+    loose = sum(not x.rstrip().endswith(ENDS) for x in lines)
+    m = max(1, n)
+    return np.minimum(1.0, [8 * (len(text) - len(text.translate(None, SYMBOLS))) / k, three[three > 1].sum() / m, most / m, 2 * (len(text) - len(text.translate(None, CAPITALS))) / k, loose / max(1, len(lines)), short / m, 50 / max(50, 5 * n) * 5 if n < 50 else 0.0, 10 * text.count(b"!") / m])
 
 
-ABUSIVE = frozenset(w.encode() for w in ABUSE)
+class Buckets(dict):
+    """Word (lower case) to the numbers of its bucket and of that of its beginning (its own for short words), and whether it is a word of abuse, in one number."""
+
+    def __init__(self, size: int, most: int = 300_000):
+        self.size, self.most = size, most
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        own = xxhash.xxh64_intdigest(word) % self.size
+        stem = xxhash.xxh64_intdigest(word[:STEM], 1) % self.size if len(word) > STEM else own
+        found = self[word] = own | stem << 24 | (word in ABUSIVE) << 48
+        return found
+
 
+def features(text: bytes, buckets: Buckets) -> tuple[np.ndarray, np.ndarray, int]:
+    """The distinct buckets of a text's words, those of their beginnings, and how many words of abuse there are."""
+    found = np.concatenate([np.fromiter(map(buckets.__getitem__, ws), np.int64, len(ws)) for ws in words(text, ALNUM)])
+    abuse = int((found >> 48).sum())
+    found = np.unique(found)
+    return np.unique(found & 0xFFFFFF), np.unique((found >> 24) & 0xFFFFFF), abuse
 
-def votes(shape: np.ndarray, text: bytes) -> tuple[int, int]:
+
+class Lexicons:
+    """Buckets that go with toxic judgements: of words, from half of the judged documents, and of beginnings, from the other half."""
+
+    def __init__(self, of_words: np.ndarray, of_stems: np.ndarray):
+        self.of_words, self.of_stems = of_words, of_stems
+
+
+def telling(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, size: int, least_rows: int, deviations: float) -> np.ndarray:
+    """How many standard deviations each bucket's share of the class is from that of all rows; 0 for buckets in fewer than least_rows rows, or within `deviations`."""
+    if not len(rows):
+        return np.zeros(size)
+    flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    n = np.bincount(flat, weight[of], size)
+    share = (weight @ target) / weight.sum()
+    z = (np.bincount(flat, (weight * target)[of], size) - n * share) / np.sqrt(np.maximum(n, 1e-9) * max(share * (1 - share), 1e-9))
+    return np.where((np.bincount(flat, minlength=size) >= least_rows) & (np.abs(z) >= deviations), z, 0.0)
+
+
+def votes(shape: np.ndarray, found: tuple[np.ndarray, np.ndarray, int], lexicons: Lexicons) -> tuple[int, int]:
     """What the labellers of quality and of toxicity say, each a number with a digit (base 3) for every labeller."""
-    symbols, repeats, most, capitals, loose, short, brief, _ = shape
+    symbols, repeats, most, capitals, loose, short, brief, cries = shape
     quality = (
         AGAINST if symbols > 0.35 else FOR if symbols < 0.15 else NONE,
         AGAINST if repeats > 0.4 else FOR if repeats < 0.15 else NONE,
@@ -56,10 +95,14 @@ def votes(shape: np.ndarray, text: bytes) -> tuple[int, int]:
         AGAINST if short > 0.6 else NONE,
         AGAINST if brief > 0.9 else NONE,
     )
-    found = set(text.translate(ALNUM).split()) & ABUSIVE if shape[7] else ()
-    parts = ABUSE[0::3], ABUSE[1::3], ABUSE[2::3]
-    toxic = [FOR if any(w.encode() in found for w in part) else AGAINST for part in parts]
-    toxic.append(FOR if len(found) > 1 or shape[7] > 0.1 else AGAINST if not found else NONE)
+    own, stems, abuse = found
+    # four views: a list of words, what judged documents tell of words, what others of them tell of beginnings, and the tone
+    toxic = (
+        FOR if abuse else NONE,
+        NONE if not len(lexicons.of_words) else FOR if np.isin(own, lexicons.of_words).any() else AGAINST,
+        NONE if not len(lexicons.of_stems) else FOR if np.isin(stems, lexicons.of_stems).any() else AGAINST,
+        FOR if cries > 0.5 and capitals > 0.5 else AGAINST if not cries else NONE,
+    )
     return sum(v * 3**i for i, v in enumerate(quality)), sum(v * 3**i for i, v in enumerate(toxic))
 
 
@@ -93,30 +136,13 @@ def expectation_maximisation(patterns: dict[int, int], n: int, prior: float, jud
     return dict(zip(codes.tolist(), q.tolist())), shares, prior
 
 
-class Buckets(dict):
-    def __init__(self, size: int, most: int = 300_000):
-        self.size, self.most = size, most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        b = self[word] = xxhash.xxh64_intdigest(word) % self.size
-        return b
-
-
-def features(text: bytes, buckets: Buckets) -> np.ndarray:
-    """The distinct buckets of a text's words."""
-    return np.unique(np.concatenate([np.fromiter(map(buckets.__getitem__, ws), np.int32, len(ws)) for ws in words(text, ALNUM)]))
-
-
-def fit(rows: list, target: np.ndarray, weight: np.ndarray, size: int, least_rows: int, epochs: int = 8, rate: float = 0.3, ridge: float = 2e-4) -> np.ndarray:
-    """Logistic regression on soft targets by AdaGrad: weights of buckets (0 for those in under least_rows rows), of shapes, and the bias."""
-    lengths = np.array([len(r.f) for r in rows])
-    flat, dense = np.concatenate([np.array(r.f, np.int64) for r in rows]), np.array([r.s for r in rows])
-    df = np.bincount(flat, minlength=size)
+def fit(rows: list[np.ndarray], dense: np.ndarray, target: np.ndarray, weight: np.ndarray, size: int, use: np.ndarray, epochs: int = 12, rate: float = 0.3, ridge: float = 2e-4) -> np.ndarray:
+    """Logistic regression on soft targets by AdaGrad: weights of buckets (0 for those not in use), of shapes, and the bias."""
+    kept = [r[use[r]] for r in rows]
+    lengths = np.array([len(r) for r in kept])
+    flat = np.concatenate([*kept, np.empty(0, np.int64)]).astype(np.int64)
     starts = np.concatenate([[0], np.cumsum(lengths)])
     w, g2 = np.zeros(size + N_SHAPES + 1), np.full(size + N_SHAPES + 1, 1e-2)
-    use = np.concatenate([df >= least_rows, np.ones(N_SHAPES + 1, bool)])
     rng = np.random.default_rng(0)
     for _ in range(epochs):
         for batch in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 64)):
@@ -128,80 +154,103 @@ def fit(rows: list, target: np.ndarray, weight: np.ndarray, size: int, least_row
             g = np.zeros_like(w)
             g[:size] = np.bincount(cols, e[of], size)
             g[size:-1], g[-1] = e @ dense[batch], e.sum()
-            g = np.where(use, g / len(batch) + ridge * w, 0.0)
+            g = np.where(w != 0, ridge * w, 0.0) + g / len(batch)
             g2 += g * g
             w -= rate * g / np.sqrt(g2)
-    return np.where(use, w, 0.0)
+    return w
 
 
-def classify(docs: DataFrame, known: DataFrame | None = None, *, doc: str = "doc_id", text: str = "text", keep: list[str] | None = None, sample: int = 8000, size: int = 1 << 18, least_rows: int = 8) -> DataFrame:
+def classify(
+    docs: DataFrame, known: DataFrame | None = None, *, doc: str = "doc_id", text: str = "text", keep: list[str] | None = None, sample: int = 8000, most_features: int = 4096, size: int = 1 << 18, least_rows: int = 4, deviations: float = 4.0, faith: tuple[float, float] = (0.2, 0.02),
+) -> DataFrame:
     """`keep` (default: all columns) and quality_score, toxic_score (0 to 1) and kept (quality_score >= 0.5 and toxic_score < 0.5).
 
     known(doc, quality, toxic): judgements of some documents; EM takes them as right, and learns the labellers' accuracies from all documents. Several rows of
     a document count as their largest values, other values than 0 and 1 and documents that it lacks as no vote.
-    The votes of all documents are counted by pattern (at most 3**8 x 3**5 rows come to the driver) and give the labellers' accuracies
-    and each pattern's posterior by EM. The scorer is fitted on at most `sample` documents, chosen by a hash of their ids and texts (equal rows are drawn once): a bound that doesn't grow with
-    the input, each document being at most `size` bucket numbers; documents of a rarer class weigh more, up to 4 times. All documents are
-    scored. A null or empty text has no words and the scores of that. Repeated rows count each, and get the same scores. No rows: no rows.
-    Columns with the new names give way."""
-    fields = [T.StructField("quality_votes", T.IntegerType(), False), T.StructField("toxic_votes", T.IntegerType(), False)]
+    A sample of at most `sample` documents, judged ones first, then by a hash of id and text (equal rows are drawn once), comes to the driver, each as at most most_features bucket
+    numbers (those with the least): a bound that doesn't grow with the input. From it come two of the labellers of toxicity, and on it the scorer is fitted, for which an EM posterior weighs
+    `faith` (of quality; of toxicity, of which the labellers see less) of a judgement. The votes of all documents are counted by pattern (at most 3**8 x 3**5 rows come to the driver) and give the labellers' accuracies
+    and each pattern's posterior by EM. Buckets take part that are in least_rows rows and whose share of the class is `deviations` standard deviations from that of all;
+    documents of a rarer class weigh more, up to 4 times. All documents are scored, whole, however long. A null or empty text has no words and the scores of that. Repeated rows count each, and get
+    the same scores. No rows: no rows. Columns with the new names give way, others may have any name."""
+    if size > 1 << 24:
+        raise ValueError("a bucket's number has 24 bits")
+    spark = docs.sparkSession
+    judge, mark, quality, toxic = fresh(docs, "judged", "mark", "quality", "toxic")
+    if known is None:
+        by_doc = spark.createDataFrame([], f"{judge} {docs.schema[doc].dataType.simpleString()}, {quality} int, {toxic} int")
+    else:
+        by_doc = known.groupBy(F.col(doc).alias(judge)).agg(*(F.max(F.when(F.col(n).isin(0, 1), F.col(n))).cast("int").alias(own) for n, own in (("quality", quality), ("toxic", toxic))))
+
+    # the sample: judged documents first
+    marked = docs.select(docs[doc].alias(doc), docs[text].alias(text), F.xxhash64(F.lit("sample"), docs[doc], docs[text]).alias(mark))
+    ranked = marked.select(doc, mark).join(by_doc, F.col(doc) == F.col(judge), "left").select(mark, F.coalesce(F.col(quality), F.col(toxic)).isNull().alias("late"), quality, toxic)
+    first = ranked.groupBy(mark).agg(F.min("late").alias("late"), F.max(quality).alias(quality), F.max(toxic).alias(toxic)).orderBy("late", mark).limit(sample).collect()
+    judgement = {r[mark]: (r[quality], r[toxic]) for r in first}
+    wanted = F.broadcast(spark.createDataFrame([(m,) for m in judgement], f"{mark} long"))
+    drawn = [T.StructField("f", T.BinaryType(), False), T.StructField("g", T.BinaryType(), False), T.StructField("s", T.BinaryType(), False), T.StructField("abuse", T.IntegerType(), False)]
+
+    def draw():
+        buckets, hashes = Buckets(size), Hashes()
 
-    def vote():
         def work(texts: list[bytes]) -> tuple:
-            q = [votes(shapes(t), t) for t in texts]
-            return [x for x, _ in q], [x for _, x in q]
+            found = [features(t, buckets) for t in texts]
+            return [x[:most_features].astype("<i4").tobytes() for x, _, _ in found], [x[:most_features].astype("<i4").tobytes() for _, x, _ in found], [shapes(t, hashes).tobytes() for t in texts], [x for _, _, x in found]
 
         return work
 
-    def judged(rows: DataFrame) -> DataFrame:
-        """The judgement as one more digit of the votes."""
-        if known is None:
-            return rows.withColumns({f"{n}_votes": (F.col(f"{n}_votes") + NONE * 3**k).cast("int") for n, k in N_LABELLERS.items()})
-        by_doc = known.groupBy(F.col(doc).alias("_doc")).agg(F.max("quality").alias("_quality"), F.max("toxic").alias("_toxic"))
-        digit = {n: F.when(F.col(f"_{n}").isin(0, 1), F.col(f"_{n}")).otherwise(NONE) for n in N_LABELLERS}
-        return rows.join(by_doc, rows[doc] == by_doc["_doc"], "left").withColumns({f"{n}_votes": (F.col(f"{n}_votes") + digit[n] * 3**k).cast("int") for n, k in N_LABELLERS.items()})
-
-    cast = map_texts(docs, text, fields, vote, [doc])
-    counts = judged(cast).groupBy("quality_votes", "toxic_votes").agg(F.count("*").alias("n")).collect()
-    posterior = {}
-    for name, prior in (("quality", 0.8), ("toxic", 0.1)):
-        tally: Counter = Counter()
-        for r in counts:
-            tally[r[f"{name}_votes"]] += r.n
-        posterior[name] = expectation_maximisation(dict(tally), N_LABELLERS[name], prior, judged=True)[0]
-    # by document and text: a text of many documents is drawn as often as it comes, and cannot fill the sample
-    named = docs.select(doc, F.col(text).alias("t")).withColumn("_h", F.xxhash64(F.lit("sample"), F.col(doc), "t"))
-    last = [r._h for r in named.select("_h").distinct().orderBy("_h").limit(sample).collect()][-1:]
-    chosen = named.where(F.col("_h") <= F.lit(last[0] if last else 0)).dropDuplicates(["_h"])
-    drawn = [T.StructField("f", T.ArrayType(T.IntegerType(), False), False), T.StructField("s", T.ArrayType(T.DoubleType(), False), False), *fields]
+    chosen = marked.join(wanted, mark, "left_semi").dropDuplicates([mark])
+    rows = sorted(map_texts(chosen, text, drawn, draw, [mark]).collect(), key=lambda r: r[mark])
+    found = [(np.frombuffer(r.f, "<i4").astype(np.int64), np.frombuffer(r.g, "<i4").astype(np.int64), r.abuse) for r in rows]
+    dense = np.array([np.frombuffer(r.s) for r in rows]).reshape(-1, N_SHAPES)
+    judged = {"quality": [judgement[r[mark]][0] for r in rows], "toxic": [judgement[r[mark]][1] for r in rows]}
 
-    def draw():
-        buckets = Buckets(size)
+    def lexicon(which: int) -> np.ndarray:
+        at = [i for i, x in enumerate(judged["toxic"]) if x is not None and rows[i][mark] % 2 == which]
+        target = np.array([judged["toxic"][i] for i in at], float)
+        return np.nonzero(telling([found[i][which] for i in at], target, np.ones(len(at)), size, least_rows, max(6.0, deviations)) > 0)[0]
+
+    lexicons = Lexicons(lexicon(0), lexicon(1))
+    told = spark.sparkContext.broadcast(lexicons)
+
+    def vote():
+        buckets, hashes = Buckets(size), Hashes()
 
         def work(texts: list[bytes]) -> tuple:
-            s = [shapes(t) for t in texts]
-            q = [votes(a, t) for a, t in zip(s, texts)]
-            return [features(t, buckets) for t in texts], [a.tolist() for a in s], [x for x, _ in q], [x for _, x in q]
+            q = [votes(shapes(t, hashes), features(t, buckets), told.value) for t in texts]
+            return [x for x, _ in q], [x for _, x in q]
 
         return work
 
-    rows = sorted(judged(map_texts(chosen, "t", drawn, draw, [doc, "_h"])).collect(), key=lambda r: r._h)
+    cast = map_texts(docs, text, [T.StructField("quality_votes", T.IntegerType(), False), T.StructField("toxic_votes", T.IntegerType(), False)], vote, [doc])
+    digits = {n: F.coalesce(F.col(own), F.lit(NONE)) * 3 ** N_LABELLERS[n] for n, own in (("quality", quality), ("toxic", toxic))}
+    counts = cast.join(by_doc, F.col(doc) == F.col(judge), "left").groupBy(*((F.col(f"{n}_votes") + d).cast("int").alias(n) for n, d in digits.items())).agg(F.count("*").alias("n")).collect()
     weights = {}
-    for name in posterior:
-        target = np.array([posterior[name][r[f"{name}_votes"]] for r in rows])
-        rare = min(target.mean(), 1 - target.mean()) if len(rows) else 0.5
-        up = min(4.0, 0.5 / max(rare, 1e-6))
-        weight = np.where((target >= 0.5) == (target.mean() < 0.5), up, 1.0) if len(rows) else target
-        weights[name] = fit(rows, target, weight, size, least_rows) if rows else np.zeros(size + N_SHAPES + 1)
-    sent = docs.sparkSession.sparkContext.broadcast({k: v.astype(np.float32) for k, v in weights.items()})
+    for name, prior in (("quality", 0.8), ("toxic", 0.1)):
+        tally: Counter = Counter()
+        for r in counts:
+            tally[r[name]] += r.n
+        posterior = expectation_maximisation(dict(tally), N_LABELLERS[name], prior, judged=True)[0]
+        if not rows:
+            weights[name] = np.zeros(size + N_SHAPES + 1)
+            continue
+        which, last = ("quality", "toxic").index(name), 3 ** N_LABELLERS[name]
+        target = np.array([posterior[votes(d, x, lexicons)[which] + (NONE if j is None else j) * last] for d, x, j in zip(dense, found, judged[name])])
+        weight = np.where([j is None for j in judged[name]], faith[which], 1.0)
+        rare = min(target.mean(), 1 - target.mean())
+        weight = weight * np.where((target >= 0.5) == (target.mean() < 0.5), min(4.0, 0.5 / max(rare, 1e-6)), 1.0)
+        both = [np.union1d(x, y) for x, y, _ in found]
+        weights[name] = fit(both, dense, target, weight, size, telling(both, target, weight, size, least_rows, deviations) != 0)
+    sent = spark.sparkContext.broadcast({k: v.astype(np.float32) for k, v in weights.items()})
 
     def score():
-        buckets = Buckets(size)
+        buckets, hashes = Buckets(size), Hashes()
 
         def work(texts: list[bytes]) -> tuple:
             out: dict[str, list] = {k: [] for k in ("quality", "toxic")}
             for t in texts:
-                f, s = features(t, buckets), shapes(t)
+                own, stems, _ = features(t, buckets)
+                f, s = np.union1d(own, stems), shapes(t, hashes)
                 for k, w in sent.value.items():
                     out[k].append(float(1 / (1 + np.exp(-np.clip(w[f].sum() + s @ w[size:-1] + w[-1], -30, 30)))))
             return out["quality"], out["toxic"], [q >= 0.5 and x < 0.5 for q, x in zip(out["quality"], out["toxic"])]

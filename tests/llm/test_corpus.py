@@ -13,7 +13,7 @@ import corpus_pipeline
 from orograph.llm import kneser_ney, line_dedup, packing, sharding, simhash, url_filter, weak_labels, words
 from orograph.llm.components import components
 
-from .helpers import COLUMNS, clashing, documents, low, prose, space_words
+from .helpers import COLUMNS, clashing, documents, low, odd_texts, plain_words, prose, space_words
 
 
 def reached(n, linked):
@@ -448,27 +448,102 @@ def test_classifier_on_held_out_labels(spark):
 
 
 def test_copies_do_not_fill_the_sample(spark, monkeypatch):
-    """Three texts (one is null) of 100 documents each among 300 others: each is about a sixth of the sample. Equal rows are drawn once."""
+    """Three texts (one is null) of 100 documents each among 300 others: each is about a sixth of the sample. Equal rows are drawn once, judged documents first."""
     rng, drawn = random.Random(4), []
     hot = [None, prose(rng, 31), prose(rng, 47)]
     texts = [hot[i % 3] for i in range(300)] + [prose(rng, rng.randrange(60, 200)) for _ in range(300)]
     rows = [(i, t) for i, t in enumerate(texts)] + [(1000, "equal rows")] * 100
     fit = weak_labels.fit
     monkeypatch.setattr(weak_labels, "fit", lambda rows, *a: drawn.append(rows) or fit(rows, *a))
-    assert weak_labels.classify(spark.createDataFrame(rows, "doc_id long, text string"), sample=120).count() == 700
-    found = Counter(-1 if r.doc_id == 1000 else r.doc_id % 3 if r.doc_id < 300 else 3 for r in drawn[0])
-    assert sum(found.values()) == 120 and found[-1] <= 1 and all(6 <= found[k] <= 40 for k in range(3))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert weak_labels.classify(docs, sample=120).count() == 700
+    known = {tuple(np.union1d(*weak_labels.features((t or "").encode(), weak_labels.Buckets(1 << 18))[:2])): i for i, t in enumerate([*hot, "equal rows"])}
+    found = Counter(known.get(tuple(r), 4) for r in drawn[0])
+    assert sum(found.values()) == 120 and found[3] <= 1 and all(6 <= found[k] <= 40 for k in range(3))
+    judged = spark.createDataFrame([(i, 1, 0) for i in range(300, 400)], "doc_id long, quality int, toxic int")
+    weak_labels.classify(docs, judged, sample=120).count()
+    own = {tuple(np.union1d(*weak_labels.features(t.encode(), weak_labels.Buckets(1 << 18))[:2])) for t in texts[300:400]}
+    assert own <= {tuple(r) for r in drawn[2]}
 
 
 def test_most_frequent_word_of_a_long_text(monkeypatch):
     text = b"same " * 300 + b"other words " * 20
-    want = weak_labels.shapes(text)
+    want = weak_labels.shapes(text, words.Hashes())
     monkeypatch.setattr(words, "SLICE", 100)
-    assert want[2] == 300 / 340 and (weak_labels.shapes(text) == want).all()
+    assert want[2] == 300 / 340 and (weak_labels.shapes(text, words.Hashes()) == want).all()
+
+
+def test_shapes_and_votes_against_plain_counts():
+    """Shares by plain counting, and each labeller's rule by hand."""
+    lexicons = weak_labels.Lexicons(np.array([xxhash.xxh64_intdigest(b"two") % (1 << 18)]), np.array([xxhash.xxh64_intdigest(b"chang", 1) % (1 << 18)]))
+    nothing = weak_labels.Lexicons(np.empty(0, int), np.empty(0, int))
+    seen = set()
+    for t in [x or "" for x in odd_texts()] + ["YOU IDIOT!! STOP!! NOW!!", "a stupid thing", "changes and a moron, moron!", "A. B. " * 30]:
+        raw = t.encode()
+        w, lines = space_words(t), [x for x in raw.split(b"\n") if x.strip()]
+        three = Counter(zip(w, w[1:], w[2:]))
+        n = max(1, len(w))
+        want = [
+            8 * sum(x in b"#*$%&|<>{}[]\\^~_=+@" for x in raw) / max(1, len(raw)), sum(c for c in three.values() if c > 1) / n, max(Counter(w).values(), default=0) / n, 2 * sum(65 <= x <= 90 for x in raw) / max(1, len(raw)),
+            sum(not x.rstrip().endswith(weak_labels.ENDS) for x in lines) / max(1, len(lines)), sum(len(x.encode()) < 3 for x in w) / n, 250 / max(50, 5 * len(w)) if len(w) < 50 else 0, 10 * t.count("!") / n,
+        ]
+        shape = weak_labels.shapes(raw, words.Hashes())
+        assert shape == pytest.approx([min(1.0, x) for x in want])
+        plain = [x.encode() for x in plain_words(t)]
+        found = weak_labels.features(raw, weak_labels.Buckets(1 << 18))
+        assert found[2] == sum(x.decode(errors="replace") in weak_labels.ABUSE for x in plain)
+        over = lambda x, high, low: 0 if x > high else 1 if x < low else 2
+        s = [min(1.0, x) for x in want]
+        quality = [over(s[0], 0.35, 0.15), over(s[1], 0.4, 0.15), over(s[2], 0.3, 0.15), over(s[3], 0.7, 0.3), over(s[4], 0.8, 0.4), 0 if s[5] > 0.6 else 2, 0 if s[6] > 0.9 else 2]
+        toxic = [1 if found[2] else 2, int(b"two" in plain), int(any(x.startswith(b"chang") and len(x) > 5 for x in plain)), 1 if s[7] > 0.5 and s[3] > 0.5 else 2 if s[7] else 0]
+        digits = lambda v, k: [v // 3**i % 3 for i in range(k)]
+        q, x = weak_labels.votes(shape, found, lexicons)
+        assert digits(q, 7) == quality and digits(x, 4) == toxic
+        assert digits(weak_labels.votes(shape, found, nothing)[1], 4)[1:3] == [2, 2]
+        seen |= set(enumerate(toxic))
+    assert {(0, 1), (0, 2), (1, 0), (1, 1), (2, 0), (2, 1), (3, 0), (3, 1), (3, 2)} <= seen
+
+
+def test_em_against_plain_steps():
+    """The same posteriors from rows instead of patterns, one after the other."""
+    rng = np.random.default_rng(1)
+    rows = [tuple(r) for r in rng.integers(0, 3, (400, 4)).tolist()]  # three labellers and a judgement
+    codes = Counter(sum(v * 3**i for i, v in enumerate(r)) for r in rows)
+    posterior, shares, prior = weak_labels.expectation_maximisation(codes, 3, 0.4, judged=True, rounds=20)
+    q = [float(r[3]) if r[3] < 2 else (0.4 + sum(v == 1 for v in r[:3])) / (1 + sum(v < 2 for v in r[:3])) for r in rows]
+    for _ in range(20):
+        count = [[[8.0 if v == c else 2.0 if v == 2 else 1.0 for v in range(3)] for c in range(2)] for _ in range(3)]
+        for r, x in zip(rows, q):
+            for i in range(3):
+                count[i][1][r[i]] += x
+                count[i][0][r[i]] += 1 - x
+        share = [[[v / sum(c) for v in c] for c in by] for by in count]
+        p = (sum(q) + 1) / (len(rows) + 2)
+        new = []
+        for r in rows:
+            a, b = p, 1 - p
+            for i in range(3):
+                a, b = a * share[i][1][r[i]], b * share[i][0][r[i]]
+            new.append(float(r[3]) if r[3] < 2 else a / (a + b))
+        q = new
+    assert prior == pytest.approx(p) and shares == pytest.approx(np.array(share))
+    assert [posterior[sum(v * 3**i for i, v in enumerate(r))] for r in rows] == pytest.approx(q)
+
+
+def test_toxic_words_of_other_languages(spark):
+    """Words that no list has are learned from judgements, also by their beginnings."""
+    rng = random.Random(12)
+    stems = [f"zorg{x}" for x in ("a", "e", "i", "o")]
+    texts = [" ".join(rng.sample(prose(rng, 80).split(), 80) + ([rng.choice(stems) + rng.choice("bdfgk") + rng.choice("aeiou") for _ in range(3)] if i % 5 == 0 else [])) + "." for i in range(1000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(500)], "doc_id long, quality int, toxic int")
+    found = weak_labels.classify(docs, labels).where("doc_id >= 500").collect()
+    assert np.mean([r.toxic_score >= 0.5 for r in found if r.doc_id % 5 == 0]) > 0.9
+    assert np.mean([r.toxic_score >= 0.5 for r in found if r.doc_id % 5]) < 0.02
 
 
 def test_classifier_on_odd_rows(spark):
     docs = documents(spark)
-    found = weak_labels.classify(clashing(docs, "kept"))
-    assert found.count() == docs.count() and found.columns == [*docs.columns, "quality_score", "toxic_score", "kept"]
+    found = weak_labels.classify(clashing(docs, "kept", "_judged", "_mark", "_text", "f"))
+    assert found.count() == docs.count() and found.columns == [*docs.columns, "_judged", "_mark", "_text", "f", "quality_score", "toxic_score", "kept"]
     assert weak_labels.classify(spark.createDataFrame([], COLUMNS)).count() == 0
