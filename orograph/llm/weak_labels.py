@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import ALNUM, Hashes, fresh, map_texts, words
+from .words import ALNUM, Hashes, fresh, map_texts, numbers
 
 #: Words of abuse.
 ABUSE = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
@@ -25,21 +26,43 @@ N_SHAPES = 8
 STEM = 5
 
 
-def shapes(text: bytes, hashes: Hashes) -> np.ndarray:
-    """Shares from 0 to 1: symbols, words in repeated windows of three, most frequent word, capitals, lines without the end of a sentence, words of one or two bytes, shortness, exclamation marks. hashes: a memory of words, which may be any."""
-    parts = [np.array([], np.uint64)]
-    short = 0
-    for ws in words(text, None):
-        parts.append(np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws)))
-        short += sum(len(w) < 3 for w in ws)
-    h = np.concatenate(parts)
-    n, k = len(h), max(1, len(text))
-    three = np.unique((h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1]) * np.uint64(0xBF58476D1CE4E5B9) + h[2:], return_counts=True)[1] if n > 2 else np.zeros(1, np.int64)
-    most = np.unique(h, return_counts=True)[1].max() if n else 0
-    lines = [x for x in text.split(b"\n") if x.strip()]
-    loose = sum(not x.rstrip().endswith(ENDS) for x in lines)
-    m = max(1, n)
-    return np.minimum(1.0, [8 * (len(text) - len(text.translate(None, SYMBOLS))) / k, three[three > 1].sum() / m, most / m, 2 * (len(text) - len(text.translate(None, CAPITALS))) / k, loose / max(1, len(lines)), short / m, 50 / max(50, 5 * n) * 5 if n < 50 else 0.0, 10 * text.count(b"!") / m])
+class Marked(Hashes):
+    """Word to its XXH64, the lowest bit of which says whether the word has one or two bytes."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word) & ~1 | (len(word) < 3)
+        return h
+
+
+def runs(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and length of each group of equal hashes (their upper 48 bits) of a row."""
+    keys = np.sort((row.astype(np.uint64) << np.uint64(48)) | (hashes >> np.uint64(16)))
+    at = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0] if len(keys) else np.empty(0, np.int64)
+    return (keys[at] >> np.uint64(48)).astype(np.int64), np.diff(np.append(at, len(keys)))
+
+
+def shapes(texts: list[bytes], hashes: Marked) -> np.ndarray:
+    """For each text shares from 0 to 1: symbols, words in repeated windows of three, most frequent word, capitals, lines without the end of a sentence, words of one or two bytes, shortness, exclamation marks. hashes: a memory of words, which may be any. At most 65,536 texts."""
+    h, ends = numbers(texts, None, hashes.__getitem__, np.uint64)
+    n, rows = np.diff(ends), len(texts)
+    row = np.repeat(np.arange(rows), n)
+    short = np.bincount(row, h & np.uint64(1), rows)
+    of, length = runs(row, h)
+    most = np.zeros(rows, np.int64)
+    np.maximum.at(most, of, length)
+    inside = row[:-2] == row[2:] if len(h) > 2 else np.empty(0, bool)
+    three = (((h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1]) * np.uint64(0xBF58476D1CE4E5B9) + h[2:]) * np.uint64(0x94D049BB133111EB))[inside] if len(h) > 2 else h[:0]
+    of, length = runs(row[: len(inside)][inside], three)
+    repeats = np.bincount(of, np.where(length > 1, length, 0), rows)
+    size = np.array([len(t) for t in texts])
+    symbols, capitals = (size - [len(t.translate(None, x)) for t in texts] for x in (SYMBOLS, CAPITALS))
+    lines = [[x for x in t.split(b"\n") if x and not x.isspace()] for t in texts]
+    loose = np.array([sum(not x.rstrip().endswith(ENDS) for x in ls) / max(1, len(ls)) for ls in lines])
+    cries = np.array([t.count(b"!") for t in texts])
+    m, k = np.maximum(1, n), np.maximum(1, size)
+    return np.minimum(1.0, np.stack([8 * symbols / k, repeats / m, most / m, 2 * capitals / k, loose, short / m, np.where(n < 50, 250 / np.maximum(50, 5 * n), 0.0), 10 * cries / m], axis=1))
 
 
 class Buckets(dict):
@@ -57,12 +80,28 @@ class Buckets(dict):
         return found
 
 
-def features(text: bytes, buckets: Buckets) -> tuple[np.ndarray, np.ndarray, int]:
-    """The distinct buckets of a text's words, those of their beginnings, and how many words of abuse there are."""
-    found = np.concatenate([np.fromiter(map(buckets.__getitem__, ws), np.int64, len(ws)) for ws in words(text, ALNUM)])
-    abuse = int((found >> 48).sum())
-    found = np.unique(found)
-    return np.unique(found & 0xFFFFFF), np.unique((found >> 24) & 0xFFFFFF), abuse
+class Features:
+    """Of some texts, each row and bucket once (by rows, then buckets): words, their beginnings, both; and how many words of abuse a row has."""
+
+    def __init__(self, texts: list[bytes], buckets: Buckets):
+        found, ends = numbers(texts, ALNUM, buckets.__getitem__, np.int64)
+        self.rows = len(texts)
+        row = np.repeat(np.arange(self.rows), np.diff(ends))
+        self.abuse = np.bincount(row, found >> 48, self.rows).astype(np.int64)
+        self.words, self.stems = np.unique(row << 24 | found & 0xFFFFFF), np.unique(row << 24 | found >> 24 & 0xFFFFFF)
+
+    def both(self) -> np.ndarray:
+        return np.union1d(self.words, self.stems)
+
+    def lists(self, pairs: np.ndarray) -> list[np.ndarray]:
+        """The buckets of each row."""
+        return np.split(pairs & 0xFFFFFF, np.searchsorted(pairs >> 24, np.arange(1, self.rows)))
+
+    def hit(self, pairs: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+        """Whether a row has one of these buckets."""
+        found = np.zeros(self.rows, bool)
+        found[(pairs >> 24)[np.isin(pairs & 0xFFFFFF, buckets, kind="table")]] = True
+        return found
 
 
 class Lexicons:
@@ -71,6 +110,10 @@ class Lexicons:
     def __init__(self, of_words: np.ndarray, of_stems: np.ndarray):
         self.of_words, self.of_stems = of_words, of_stems
 
+    def votes(self, own: np.ndarray, stems: np.ndarray) -> int:
+        """What has to be added to the votes of one row for which there were no lexicons."""
+        return sum(((FOR if np.isin(x, y).any() else AGAINST) - NONE) * 3**i for i, x, y in ((1, own, self.of_words), (2, stems, self.of_stems)) if len(y))
+
 
 def telling(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, size: int, least_rows: int, deviations: float) -> np.ndarray:
     """How many standard deviations each bucket's share of the class is from that of all rows; 0 for buckets in fewer than least_rows rows, or within `deviations`."""
@@ -83,27 +126,23 @@ def telling(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, size
     return np.where((np.bincount(flat, minlength=size) >= least_rows) & (np.abs(z) >= deviations), z, 0.0)
 
 
-def votes(shape: np.ndarray, found: tuple[np.ndarray, np.ndarray, int], lexicons: Lexicons) -> tuple[int, int]:
-    """What the labellers of quality and of toxicity say, each a number with a digit (base 3) for every labeller."""
-    symbols, repeats, most, capitals, loose, short, brief, cries = shape
-    quality = (
-        AGAINST if symbols > 0.35 else FOR if symbols < 0.15 else NONE,
-        AGAINST if repeats > 0.4 else FOR if repeats < 0.15 else NONE,
-        AGAINST if most > 0.3 else FOR if most < 0.15 else NONE,
-        AGAINST if capitals > 0.7 else FOR if capitals < 0.3 else NONE,
-        AGAINST if loose > 0.8 else FOR if loose < 0.4 else NONE,
-        AGAINST if short > 0.6 else NONE,
-        AGAINST if brief > 0.9 else NONE,
-    )
-    own, stems, abuse = found
+def votes(shape: np.ndarray, found: Features, lexicons: Lexicons) -> tuple[np.ndarray, np.ndarray]:
+    """What the labellers of quality and of toxicity say of each row, each a number with a digit (base 3) for every labeller."""
+    symbols, repeats, most, capitals, loose, short, brief, cries = shape.T
+
+    def over(x: np.ndarray, high: float, low: float) -> np.ndarray:
+        return np.where(x > high, AGAINST, np.where(x < low, FOR, NONE))
+
+    def said(x: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+        return np.where(found.hit(x, buckets), FOR, AGAINST) if len(buckets) else np.full(found.rows, NONE)
+
+    quality = (over(symbols, 0.35, 0.15), over(repeats, 0.4, 0.15), over(most, 0.3, 0.15), over(capitals, 0.7, 0.3), over(loose, 0.8, 0.4), np.where(short > 0.6, AGAINST, NONE), np.where(brief > 0.9, AGAINST, NONE))
     # four views: a list of words, what judged documents tell of words, what others of them tell of beginnings, and the tone
     toxic = (
-        FOR if abuse else NONE,
-        NONE if not len(lexicons.of_words) else FOR if np.isin(own, lexicons.of_words).any() else AGAINST,
-        NONE if not len(lexicons.of_stems) else FOR if np.isin(stems, lexicons.of_stems).any() else AGAINST,
-        FOR if cries > 0.5 and capitals > 0.5 else AGAINST if not cries else NONE,
-    )
-    return sum(v * 3**i for i, v in enumerate(quality)), sum(v * 3**i for i, v in enumerate(toxic))
+        np.where(found.abuse > 0, FOR, NONE), said(found.words, lexicons.of_words), said(found.stems, lexicons.of_stems),
+        np.where((cries > 0.5) & (capitals > 0.5), FOR, np.where(cries == 0, AGAINST, NONE)),
+    )
+    return tuple(sum(v * 3**i for i, v in enumerate(x)).astype(np.int32) for x in (quality, toxic))
 
 
 N_LABELLERS = {"quality": 7, "toxic": 4}
@@ -188,20 +227,22 @@ def classify(
     first = ranked.groupBy(mark).agg(F.min("late").alias("late"), F.max(quality).alias(quality), F.max(toxic).alias(toxic)).orderBy("late", mark).limit(sample).collect()
     judgement = {r[mark]: (r[quality], r[toxic]) for r in first}
     wanted = F.broadcast(spark.createDataFrame([(m,) for m in judgement], f"{mark} long"))
-    drawn = [T.StructField("f", T.BinaryType(), False), T.StructField("g", T.BinaryType(), False), T.StructField("s", T.BinaryType(), False), T.StructField("abuse", T.IntegerType(), False)]
+    fields = [T.StructField("quality_votes", T.IntegerType(), False), T.StructField("toxic_votes", T.IntegerType(), False)]
+    drawn = [T.StructField("f", T.BinaryType(), False), T.StructField("g", T.BinaryType(), False), T.StructField("s", T.BinaryType(), False), *fields]
 
     def draw():
-        buckets, hashes = Buckets(size), Hashes()
+        buckets, hashes = Buckets(size), Marked()
 
         def work(texts: list[bytes]) -> tuple:
-            found = [features(t, buckets) for t in texts]
-            return [x[:most_features].astype("<i4").tobytes() for x, _, _ in found], [x[:most_features].astype("<i4").tobytes() for _, x, _ in found], [shapes(t, hashes).tobytes() for t in texts], [x for _, _, x in found]
+            found, shape = Features(texts, buckets), shapes(texts, hashes)
+            own, stems = ([x[:most_features].astype("<i4").tobytes() for x in found.lists(pairs)] for pairs in (found.words, found.stems))
+            return own, stems, [x.tobytes() for x in shape], *votes(shape, found, Lexicons(np.empty(0, np.int64), np.empty(0, np.int64)))
 
         return work
 
     chosen = marked.join(wanted, mark, "left_semi").dropDuplicates([mark])
     rows = sorted(map_texts(chosen, text, drawn, draw, [mark]).collect(), key=lambda r: r[mark])
-    found = [(np.frombuffer(r.f, "<i4").astype(np.int64), np.frombuffer(r.g, "<i4").astype(np.int64), r.abuse) for r in rows]
+    found = [(np.frombuffer(r.f, "<i4").astype(np.int64), np.frombuffer(r.g, "<i4").astype(np.int64)) for r in rows]
     dense = np.array([np.frombuffer(r.s) for r in rows]).reshape(-1, N_SHAPES)
     judged = {"quality": [judgement[r[mark]][0] for r in rows], "toxic": [judgement[r[mark]][1] for r in rows]}
 
@@ -214,15 +255,14 @@ def classify(
     told = spark.sparkContext.broadcast(lexicons)
 
     def vote():
-        buckets, hashes = Buckets(size), Hashes()
+        buckets, hashes = Buckets(size), Marked()
 
         def work(texts: list[bytes]) -> tuple:
-            q = [votes(shapes(t, hashes), features(t, buckets), told.value) for t in texts]
-            return [x for x, _ in q], [x for _, x in q]
+            return tuple(pa.array(x) for x in votes(shapes(texts, hashes), Features(texts, buckets), told.value))
 
         return work
 
-    cast = map_texts(docs, text, [T.StructField("quality_votes", T.IntegerType(), False), T.StructField("toxic_votes", T.IntegerType(), False)], vote, [doc])
+    cast = map_texts(docs, text, fields, vote, [doc])
     digits = {n: F.coalesce(F.col(own), F.lit(NONE)) * 3 ** N_LABELLERS[n] for n, own in (("quality", quality), ("toxic", toxic))}
     counts = cast.join(by_doc, F.col(doc) == F.col(judge), "left").groupBy(*((F.col(f"{n}_votes") + d).cast("int").alias(n) for n, d in digits.items())).agg(F.count("*").alias("n")).collect()
     weights = {}
@@ -235,25 +275,23 @@ def classify(
             weights[name] = np.zeros(size + N_SHAPES + 1)
             continue
         which, last = ("quality", "toxic").index(name), 3 ** N_LABELLERS[name]
-        target = np.array([posterior[votes(d, x, lexicons)[which] + (NONE if j is None else j) * last] for d, x, j in zip(dense, found, judged[name])])
+        said = [r.quality_votes for r in rows] if name == "quality" else [r.toxic_votes + lexicons.votes(*x) for r, x in zip(rows, found)]
+        target = np.array([posterior[v + (NONE if j is None else j) * last] for v, j in zip(said, judged[name])])
         weight = np.where([j is None for j in judged[name]], faith[which], 1.0)
         rare = min(target.mean(), 1 - target.mean())
         weight = weight * np.where((target >= 0.5) == (target.mean() < 0.5), min(4.0, 0.5 / max(rare, 1e-6)), 1.0)
-        both = [np.union1d(x, y) for x, y, _ in found]
+        both = [np.union1d(x, y) for x, y in found]
         weights[name] = fit(both, dense, target, weight, size, telling(both, target, weight, size, least_rows, deviations) != 0)
     sent = spark.sparkContext.broadcast({k: v.astype(np.float32) for k, v in weights.items()})
 
     def score():
-        buckets, hashes = Buckets(size), Hashes()
+        buckets, hashes = Buckets(size), Marked()
 
         def work(texts: list[bytes]) -> tuple:
-            out: dict[str, list] = {k: [] for k in ("quality", "toxic")}
-            for t in texts:
-                own, stems, _ = features(t, buckets)
-                f, s = np.union1d(own, stems), shapes(t, hashes)
-                for k, w in sent.value.items():
-                    out[k].append(float(1 / (1 + np.exp(-np.clip(w[f].sum() + s @ w[size:-1] + w[-1], -30, 30)))))
-            return out["quality"], out["toxic"], [q >= 0.5 and x < 0.5 for q, x in zip(out["quality"], out["toxic"])]
+            pairs, shape = Features(texts, buckets).both(), shapes(texts, hashes)
+            out = [np.bincount(pairs >> 24, w[pairs & 0xFFFFFF], len(texts)) + shape @ w[size:-1] + w[-1] for w in (sent.value["quality"], sent.value["toxic"])]
+            q, x = (1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in out)
+            return pa.array(q), pa.array(x), pa.array((q >= 0.5) & (x < 0.5))
 
         return work
 
