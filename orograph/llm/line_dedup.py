@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import Folder, materialised
+from .shared import Folder, cleared, materialised
 from .words import LOWER, fresh, numbers, slices, texts_of
 
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -93,8 +93,9 @@ class Texts:
 
 
 def split(least: int) -> tuple[int, int]:
-    """k, w: of windows of k units each w in a row are `least` units."""
-    return least // 2 + 1, least - least // 2
+    """k, w: of windows of k units each w in a row are `least` units. Two in w + 1 windows are fingerprints, so w is the larger part; k still has to be rare."""
+    w = max(1, 2 * least // 3)
+    return least - w + 1, w
 
 
 def batched(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, Texts]]:
@@ -200,14 +201,20 @@ def repeated(docs: DataFrame, *, min_words: int = 50, min_lines: int = 3) -> Dat
     again = materialised(every.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
     places = materialised(every.join(again, "fp").withColumn("place", place()))
     folder.delete()
+    del every, again
+    cleared(spark)
     contexts = materialised(places.groupBy("fp", "context").agg(F.min("place").alias("first"), F.count("*").alias("n")))
     several = materialised(contexts.groupBy("fp").agg(F.count("*").alias("contexts")).where("contexts > 1").select("fp"))
     open_ = contexts.join(several, "fp", "left_semi").select("fp", "context", F.lit(True).alias("open"))
     known = materialised(contexts.join(open_, ["fp", "context"], "left").where("n > 1 or open").select("fp", "context", "first", F.coalesce("open", F.lit(False)).alias("open")))
     marked = materialised(places.join(known, ["fp", "context"]).where("place > first or open").select("k1", "k2", "start", "end", "lines", (F.col("place") > F.col("first")).alias("later")))
+    del places, contexts, several, open_, known
+    cleared(spark)
     lists = materialised(marked.where("not later").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end", "lines")).alias("contexts")))
     texts = docs.join(lists, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "contexts", "text")
     windows(texts, sizes).write.parquet(whole.uri)
+    del texts
+    cleared(spark)
     found = spark.read.parquet(whole.uri).withColumn("place", place())
     first = materialised(found.groupBy("h").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first"))
     later = found.join(first, "h").where("place > first").select("k1", "k2", "start", "end")
@@ -249,14 +256,14 @@ def marked(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", carry: l
 
 
 def cut(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The documents' own columns (but for one named `spans`), later repeats cut out of the texts; documents of which nothing is left are dropped, those that had no words stay.
+    """The documents' own columns, which may have any name, later repeats cut out of the texts; documents of which nothing is left are dropped, those that had no words stay.
 
     See marked() for nulls, ties, repeated rows, long texts and empty tables."""
-    rows = marked(docs, doc=doc, text=text, **how)
-    names = [c for c in docs.columns if c != "spans"]
-    (gone,) = fresh(docs, "cut")
-    schema = T.StructType([docs.schema[c] for c in names] + [T.StructField(gone, T.BooleanType(), False)])
-    at = names.index(text)
+    # the columns go through marked() under names that it hasn't
+    own = {c: f"column{i}" for i, c in enumerate(docs.columns)}
+    rows = marked(docs.select(*(docs[c].alias(n) for c, n in own.items())), doc=own[doc], text=own[text], **how)
+    names, at = list(own.values()), docs.columns.index(text)
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("cut", T.BooleanType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -268,4 +275,5 @@ def cut(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", **how) -> D
             columns = [pa.array(texts, types.field(i).type) if i == at else b.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([bool(s) for s in spans])], schema=types)
 
-    return rows.select(*names, "spans").mapInArrow(run, schema).where(~F.col(gone) | F.col(text).rlike(r"[^\x20\x09-\x0D]")).drop(gone)
+    left = rows.mapInArrow(run, schema).where(~F.col("cut") | F.col(own[text]).rlike(r"[^\x20\x09-\x0D]"))
+    return left.select(*(F.col(n).alias(c) for c, n in own.items()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import shutil
 import tempfile
 import uuid
@@ -33,6 +34,12 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cleared(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of results that nothing refers to any more; else they stay on disk until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Folder:
     """A folder of array files below the shared one: written and read by tasks, each file whole or not at all."""
 
