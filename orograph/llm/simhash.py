@@ -12,12 +12,14 @@ from pyspark.sql import types as T
 
 from .components import components
 from .shared import materialised
-from .words import LOWER, map_texts, numbers, rolling, words
+from .words import LOWER, fresh, map_texts, numbers, rolling, words
 
 #: Rows of a tile: a task compares one tile with itself or one other.
 TILE = 2048
 #: Shingles of a tile whose rows are compared by them.
 SHINGLES = 4_000_000
+#: Of a text's shingles so many, those with the least hashes, bring it together with others.
+LEAST = 8
 
 
 def spread(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -56,18 +58,18 @@ def shingles(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(rolling(hashes, min(shingle, len(hashes)))) if len(hashes) else hashes
 
 
-def sketch(own: np.ndarray, parts: int) -> list[int]:
-    """The fingerprint of distinct shingles, and a hash of the whole set, as signed longs. No shingles: zeros."""
+def sketch(own: np.ndarray, parts: int) -> list:
+    """The fingerprint of distinct shingles, a hash of the whole set, as signed longs, and the least LEAST of them. No shingles: zeros."""
     ones = np.zeros(64 * parts, np.int64)
     for x in range(0, len(own), 1 << 16):
         mixed = np.ascontiguousarray(spread(own[x : x + (1 << 16)], parts + 1)[:, 1:])
         ones += np.unpackbits(mixed.view(np.uint8).reshape(-1, 8 * parts), axis=1, bitorder="little").sum(0, dtype=np.int64)
     whole = np.array([xxhash.xxh64_intdigest(own.tobytes()) if len(own) else 0], np.uint64).view(np.int64)
-    return [*np.packbits(2 * ones > len(own), bitorder="little").view("<i8").tolist(), int(whole[0])]
+    return [*np.packbits(2 * ones > len(own), bitorder="little").view("<i8").tolist(), int(whole[0]), own[:LEAST].view(np.int64).tolist()]
 
 
 def sketches(docs: DataFrame, *, shingle: int, parts: int, text: str, keep: list[str]) -> DataFrame:
-    """`keep`, the fingerprint of each text's distinct shingles, and `same`, a hash of their set."""
+    """`keep`, the fingerprint of each text's distinct shingles, `same`, a hash of their set, and `least`, the least of them."""
 
     def start():
         def work(texts: list[bytes]) -> list:
@@ -75,7 +77,8 @@ def sketches(docs: DataFrame, *, shingle: int, parts: int, text: str, keep: list
 
         return work
 
-    return map_texts(docs, text, [T.StructField(n, T.LongType(), False) for n in [*names(parts), "same"]], start, keep)
+    fields = [T.StructField(n, T.LongType(), False) for n in [*names(parts), "same"]]
+    return map_texts(docs, text, [*fields, T.StructField("least", T.ArrayType(T.LongType(), False), False)], start, keep)
 
 
 def names(parts: int) -> list[str]:
@@ -95,16 +98,6 @@ def fingerprints(docs: DataFrame, *, shingle: int = 3, parts: int = 1, text: str
     return map_texts(docs, text, [T.StructField(n, T.LongType(), False) for n in names(parts)], start, keep)
 
 
-def linked(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of pairs within the radius, by exclusive-or and bit counts; strips of rows bound the memory."""
-    found = []
-    step = max(1, (1 << 20) // max(1, len(b)))
-    for x in range(0, len(a), step):
-        i, j = np.nonzero(np.bitwise_count(a[x : x + step, None] ^ b[None, :]) <= radius)
-        found.append((i + x, j))
-    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
-
-
 def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Smallest index reachable from each of n, so that a tile gives a link for each row at most and not its pairs."""
     root = np.arange(n)
@@ -123,78 +116,102 @@ def links(distinct: DataFrame, radius: int, *, tile: int = TILE) -> DataFrame:
     """(a, b) that connect all fingerprints (column fp, distinct) which differ in `radius` bits or fewer, through each other.
 
     The 64 bits are cut into radius + 2 blocks; two linked fingerprints agree in at least two blocks, so each pair meets in a bucket of one
-    pair of blocks and their values. A bucket is cut by population count (and, where more than a tile's rows have one count, by hash) into tiles; tiles
-    whose counts differ beyond the radius are skipped, and each remaining pair of tiles is compared exactly, in a task of bounded rows."""
+    pair of blocks and their values."""
     blocks = radius + 2
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
     masks = [((1 << edges[i + 1]) - (1 << edges[i])) for i in range(blocks)]
     signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
     keys = [F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(masks[x] | masks[y]))).alias("v")) for k, (x, y) in enumerate(combinations(range(blocks), 2))]
-    keyed = distinct.select("fp", F.bit_count("fp").alias("pop"), F.explode(F.array(*keys)).alias("key")).select("fp", "pop", "key.k", "key.v")
+    keyed = distinct.select(F.col("fp").alias("node"), "fp", F.explode(F.array(*keys)).alias("key")).select("node", "fp", "key.k", "key.v")
+    return within(keyed, ["k", "v"], ["fp"], radius, tile=tile)
+
+
+def met(nodes: DataFrame, columns: list[str], radius: int, *, tile: int = TILE) -> DataFrame:
+    """(a, b) that connect all of nodes(node, columns, least) which have one of their least shingles in common and are within the radius.
+
+    Texts that share 0.8 of their shingles lack such a one if, in the order of hashes, LEAST shingles that only one of them has come before the first of both: in about 5 of 10**8 pairs.
+    Buckets of equal nodes (most, for a pair of near-copies) are gone through once. Work grows with the documents and the pairs within a bucket, not with all pairs."""
+    keyed = nodes.select("node", F.explode("least").alias("s"))
+    again = materialised(keyed.groupBy("s").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x")).where("n > 1"))
+    distinct = materialised(again.groupBy("n", "x").agg(F.min("s").alias("s")).select("s"))
+    rows = materialised(keyed.join(distinct, "s"))
+    return within(rows.join(nodes.select("node", *columns), "node"), ["s"], columns, radius, tile=tile)
+
+
+def within(rows: DataFrame, bucket: list[str], columns: list[str], radius: int, *, tile: int = TILE) -> DataFrame:
+    """(a, b) that connect all nodes of a bucket whose fingerprints (columns) differ in `radius` bits or fewer, from rows(bucket, node, columns).
+
+    A bucket is cut by population count (in steps that the radius allows; and, where more than a tile's rows have one, by hash) into tiles; tiles
+    whose counts differ beyond the radius are skipped, and each remaining pair of tiles is compared exactly, in a task of bounded rows."""
+    step = max(1, radius // 2)
+    pop = F.floor(sum((F.bit_count(c) for c in columns[1:]), F.bit_count(columns[0])) / step).cast("int")
+    rows = rows.withColumn("pop", pop)
     # one row for a bucket and count: how many tiles it needs; buckets of a single row go
-    sizes = keyed.groupBy("k", "v", "pop").agg(F.count("*").alias("n"))
-    tall = sizes.groupBy("k", "v").agg(F.sum("n").alias("rows"), F.map_from_entries(F.collect_list(F.struct("pop", F.ceil(F.col("n") / tile).cast("int").alias("t")))).alias("tiles")).where("rows > 1")
-    rows = keyed.join(tall, ["k", "v"])
+    sizes = rows.groupBy(*bucket, "pop").agg(F.count("*").alias("n"))
+    tall = sizes.groupBy(*bucket).agg(F.sum("n").alias("rows"), F.map_from_entries(F.collect_list(F.struct("pop", F.ceil(F.col("n") / tile).cast("int").alias("t")))).alias("tiles")).where("rows > 1")
     small = F.col("rows") <= tile
-    own = F.when(small, F.lit(0)).otherwise(F.pmod(F.xxhash64("fp"), F.element_at("tiles", F.col("pop"))).cast("int"))
-    placed = rows.withColumn("own", own)
+    own = F.when(small, F.lit(0)).otherwise(F.pmod(F.xxhash64(*columns), F.element_at("tiles", F.col("pop"))).cast("int"))
+    placed = rows.join(tall, bucket).withColumn("own", own)
 
     def others() -> F.Column:
         """The tile pairs that a row takes part in, each as (smaller tile, larger tile), a tile being (pop, number)."""
-        here = F.struct(F.col("pop").cast("int").alias("p"), F.col("own").alias("t"))
-        near = F.filter(F.map_keys("tiles"), lambda p: F.abs(p - F.col("pop")) <= radius)
-        every = F.flatten(F.transform(near, lambda p: F.transform(F.sequence(F.lit(0), F.element_at("tiles", p) - 1), lambda t: F.struct(p.cast("int").alias("p"), t.cast("int").alias("t")))))
+        here = F.struct(F.col("pop").alias("p"), F.col("own").alias("t"))
+        near = F.filter(F.map_keys("tiles"), lambda p: F.abs(p - F.col("pop")) * step - (step - 1) <= radius)
+        every = F.flatten(F.transform(near, lambda p: F.transform(F.sequence(F.lit(0), F.element_at("tiles", p) - 1), lambda t: F.struct(p.alias("p"), t.cast("int").alias("t")))))
         return F.transform(every, lambda x: F.struct(F.least(here, x).alias("x"), F.greatest(here, x).alias("y"), (here <= x).alias("left")))
 
     zero = F.struct(F.lit(-1).alias("p"), F.lit(0).alias("t"))
     whole = F.array(F.struct(zero.alias("x"), zero.alias("y"), F.lit(True).alias("left")))
-    tasks = placed.select("fp", "k", "v", F.explode(F.when(small, whole).otherwise(others())).alias("pair"))
-    tasks = tasks.select("fp", F.xxhash64("k", "v", "pair.x", "pair.y").alias("task"), F.when(F.col("pair.x") == F.col("pair.y"), F.lit(2)).when(F.col("pair.left"), F.lit(0)).otherwise(F.lit(1)).alias("side"))
-    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = placed.select("node", *columns, *bucket, F.explode(F.when(small, whole).otherwise(others())).alias("pair"))
+    side = F.when(F.col("pair.x") == F.col("pair.y"), F.lit(2)).when(F.col("pair.left"), F.lit(0)).otherwise(F.lit(1))
+    tasks = tasks.select(F.xxhash64(*bucket, "pair.x", "pair.y").alias("task"), "node", side.alias("side"), *columns)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.LongType(), False)])
 
     def compare(batches):
         import pyarrow as pa
 
-        def out(task: np.ndarray, fp: np.ndarray, side: np.ndarray):
+        def out(task: np.ndarray, node: np.ndarray, side: np.ndarray, *prints: np.ndarray):
             """All tasks' rows are here together, in order of tasks."""
+            f = np.stack(prints, axis=1).view(np.uint64)
             cuts = np.concatenate([[0], np.nonzero(np.diff(task))[0] + 1, [len(task)]])
             length = np.diff(cuts)
-            made_a, made_b = [], []
             two = cuts[:-1][length == 2]  # most buckets: one pair each, all compared at once
-            near = np.bitwise_count(fp[two].view(np.uint64) ^ fp[two + 1].view(np.uint64)) <= radius
-            made_a.append(fp[two[near]])
-            made_b.append(fp[two[near] + 1])
+            two = two[np.bitwise_count(f[two] ^ f[two + 1]).sum(1) <= radius]
+            made_a, made_b = [node[two]], [node[two + 1]]
             for x, m in zip(cuts[:-1][length > 2].tolist(), length[length > 2].tolist()):
-                f, s = np.unique(fp[x : x + m].view(np.uint64), return_index=True)
-                s = side[x : x + m][s]
-                pop = np.bitwise_count(f)
-                i_all, j_all = [], []
-                for p in np.unique(pop).tolist():  # strips of one count, against those that are near enough
-                    left, right = np.nonzero((pop == p) & (s != 1))[0], np.nonzero((np.abs(pop.astype(int) - p) <= radius) & (s != 0))[0]
-                    if len(left) and len(right):
-                        i, j = linked(f[left], f[right], radius)
-                        i_all.append(left[i])
-                        j_all.append(right[j])
-                if i_all:
-                    root = forest(len(f), np.concatenate(i_all), np.concatenate(j_all))
-                    moved = np.nonzero(root != np.arange(len(f)))[0]
-                    made_a.append(f[moved].view(np.int64))
-                    made_b.append(f[root[moved]].view(np.int64))
+                own, s = f[x : x + m], side[x : x + m]
+                ones = np.bitwise_count(own).sum(1).astype(int)
+                root, found, held = np.arange(m), [], 0
+                for p in np.unique(ones // step).tolist():  # strips of one step, against those that are near enough
+                    left = np.nonzero((ones // step == p) & (s != 1))[0]
+                    right = np.nonzero((np.abs(ones // step - p) * step - (step - 1) <= radius) & (s != 0))[0]
+                    for i, j in strips(own, left, right, radius) if len(left) and len(right) else ():
+                        found.append((i, j))
+                        held += len(i)
+                        if held > 1 << 20:
+                            root = forest(m, *(np.concatenate(v) for v in zip(*found)))
+                            moved = np.nonzero(root != np.arange(m))[0]
+                            found, held = [(moved, root[moved])], 0
+                if found:
+                    root = forest(m, *(np.concatenate(v) for v in zip(*found)))
+                    moved = np.nonzero(root != np.arange(m))[0]
+                    made_a.append(node[x + moved])
+                    made_b.append(node[x + root[moved]])
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(made_a)), pa.array(np.concatenate(made_b))], names=["a", "b"])
 
-        kept = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)]
+        kept = None
         for b in batches:
-            new = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            task, fp, side = (np.concatenate(x) for x in zip(kept, new))
-            last = int(np.searchsorted(task, task[-1])) if len(task) else 0
+            new = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+            now = new if kept is None else [np.concatenate(x) for x in zip(kept, new)]
+            last = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
             if last:
-                yield out(task[:last], fp[:last], side[:last])
-            kept = [task[last:], fp[last:], side[last:]]
-        if len(kept[0]):
+                yield out(*(x[:last] for x in now))
+            kept = [x[last:] for x in now]
+        if kept is not None and len(kept[0]):
             yield out(*kept)
 
-    return tasks.select("task", "fp", "side").repartition(n, "task").sortWithinPartitions("task").mapInArrow(compare, schema)
+    return tasks.repartition(n, "task").sortWithinPartitions("task").mapInArrow(compare, schema)
 
 
 def strips(f: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int):
@@ -324,23 +341,24 @@ def grouped(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int =
 
     similarity: texts are linked if they share that much (Jaccard) of their distinct shingles; the radius then only says which pairs are compared,
     the fingerprint is of distinct shingles, and a column `same` has a hash of their set.
-    One part of 64 bits and a small radius are compared within buckets, more parts or a radius above 6 in tiles of everything.
+    Compared are, with a similarity, texts that have one of their least shingles in common (see met()); without, one part of 64 bits and a radius up to 6 within buckets of equal blocks,
+    and more parts or a larger radius in tiles of everything.
     Texts are read once; fingerprints, links and rounds of components are kept in the shared folder. Equal fingerprints are one node, so
     copies cost nothing beyond their row. Null docs belong to groups but name none, unless a group has nothing else (then null). Null and
     empty texts share fingerprint 0, which links like any other. Repeated rows stay. No rows: no rows."""
     columns = names(parts)
     if similarity is None:
         slim = materialised(fingerprints(docs.select(F.col(doc), F.col(text), *more), shingle=shingle, parts=parts, text=text).drop(text))
-        nodes = slim.groupBy(*columns).agg(F.min(doc).alias("least"))
+        nodes = slim.groupBy(*columns).agg(F.min(doc).alias("first"))
     else:
         read = docs.select(F.col(doc), F.col(text), *more).withColumn("_own", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
         slim = materialised(sketches(read, shingle=shingle, parts=parts, text=text, keep=[c for c in read.columns if c != text]))
         own = F.struct(F.col(doc).alias("doc"), F.col("_own").alias("mark"))
-        nodes = slim.groupBy(*columns, "same").agg(F.min(doc).alias("least"), F.min(own).alias("m"))
-        slim = slim.drop("_own")
+        nodes = slim.groupBy(*columns, "same").agg(F.min(doc).alias("first"), F.min(own).alias("m"), F.first("least").alias("least"))
+        slim = slim.drop("_own", "least")
     if similarity is not None:
         nodes = materialised(nodes.withColumn("node", F.monotonically_increasing_id()))
-        pairs = verified(docs, nodes, tiled_links(nodes, columns, radius), columns, radius, shingle, similarity, doc, text)
+        pairs = verified(docs, nodes, met(nodes, columns, radius), columns, radius, shingle, similarity, doc, text)
         columns = [*columns, "same"]
     elif parts == 1 and radius <= 6:
         nodes = nodes.withColumn("node", F.col("fingerprint"))
@@ -351,18 +369,22 @@ def grouped(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int =
     found = components(materialised(pairs))
     rooted = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # kept apart from the join, whose sides are then plain shuffles that adaptive execution can split at a large group
-    named = materialised(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    named = materialised(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     known = materialised(rooted.join(named, "root").select(*columns, "component_id"))
     return slim.join(known, columns).select(*slim.columns, "component_id")
 
 
 def one_of_each(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int = 1, similarity: float | None = None, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without near-copies: of each group one row stays, of the smallest doc (nulls last), then of the smallest text hash. Rows that agree in doc and text count as one."""
-    # rows are found again by doc and text hash, null or not
-    mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    found = grouped(docs, radius=radius, shingle=shingle, parts=parts, similarity=similarity, doc=doc, text=text, more=[mark.alias("_mark")])
+    """docs without near-copies: of each group one row stays, of the smallest doc (nulls last), then of the smallest text hash. Rows that agree in doc and text count as one.
+
+    Null and empty texts are one group (see grouped()); texts of any length are compared whole; no rows give no rows; columns may have any name."""
+    # rows are found again by doc and text hash, null or not; any column may have any name
+    slim = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
+    hashed = lambda c: F.xxhash64(F.coalesce(F.col(c), F.lit("")))
+    found = grouped(slim, radius=radius, shingle=shingle, parts=parts, similarity=similarity, doc="doc", text="text", more=[hashed("text").alias("mark")])
     alone = F.col("component_id").isNull()
-    first = found.groupBy("component_id", F.when(alone, F.col("fingerprint")).alias("_f")).agg(F.min(F.struct(F.col(doc).isNull().alias("no"), F.col(doc).alias("doc"), F.col("_mark").alias("mark"))).alias("m"))
-    keys = first.select(F.coalesce(F.col("m.doc").cast("string"), F.lit("")).alias("_doc"), F.col("m.mark").alias("_mark"))
-    marked = docs.withColumns({"_doc": F.coalesce(F.col(doc).cast("string"), F.lit("")), "_mark": mark})
-    return marked.join(keys, ["_doc", "_mark"], "left_semi").dropDuplicates(["_doc", "_mark"]).select(*docs.columns)
+    first = found.groupBy("component_id", F.when(alone, F.col("fingerprint")).alias("f")).agg(F.min(F.struct(F.col("doc").isNull().alias("no"), "doc", "mark")).alias("m"))
+    key, mark = fresh(docs, "doc", "mark")
+    keys = first.select(F.coalesce(F.col("m.doc").cast("string"), F.lit("")).alias(key), F.col("m.mark").alias(mark))
+    marked = docs.withColumns({key: F.coalesce(F.col(doc).cast("string"), F.lit("")), mark: hashed(text)})
+    return marked.join(keys, [key, mark], "left_semi").dropDuplicates([key, mark]).select(*docs.columns)
