@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .native import let, lower_ascii
+from .shared import materialised
+from .words import fresh
 
 #: Fixed values: (verdict, rule) as host/path-prefix.
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
-#: Suffixes of more than one label under which domains are registered (a small public selection; a parameter).
-SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "gov.uk", "ne.jp", "net.au", "or.jp", "org.au", "org.uk")
+#: Labels that, before a country's two letters, are part of the suffix under which domains are registered. A rule, not a list of all suffixes.
+SECOND = ("ac", "asn", "co", "com", "ed", "edu", "go", "gob", "gouv", "gov", "gub", "gv", "id", "info", "kr", "lg", "ltd", "me", "mil", "mod", "ne", "net", "nhs", "nic", "nom", "or", "org", "plc", "police", "re", "res", "sch", "school", "web")
 
 
 def parsed(url: Column) -> Column:
@@ -35,12 +37,12 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return rule, verdict
 
 
-def levels(host: Column, suffixes: tuple[str, ...]) -> tuple[Column, Column]:
-    """Registered domain and suffix: the last label (or a listed longer suffix) and one label more; addresses in digits are their own domain."""
-    last = F.substring_index(host, ".", -1)
-    two = F.substring_index(host, ".", -2)
-    suffix = F.when(last.rlike("^[0-9]+$"), F.lit("")).when(two.isin(*suffixes), two).otherwise(last)
-    domain = F.when(last.rlike("^[0-9]+$"), host).when(two.isin(*suffixes), F.substring_index(host, ".", -3)).otherwise(two)
+def levels(host: Column, second: tuple[str, ...]) -> tuple[Column, Column]:
+    """Registered domain and suffix: the last label (before a country's two letters, also one of `second`) and one label more; addresses in digits are their own domain."""
+    last, two = F.substring_index(host, ".", -1), F.substring_index(host, ".", -2)
+    number, long = last.rlike("^[0-9]+$"), last.rlike("^[a-z][a-z]$") & F.substring_index(two, ".", 1).isin(*second)
+    suffix = F.when(number, F.lit("")).when(long, two).otherwise(last)
+    domain = F.when(number, host).when(long, F.substring_index(host, ".", -3)).otherwise(two)
     return domain, suffix
 
 
@@ -58,22 +60,23 @@ def strength(level: DataFrame, least: float, most: float) -> float:
     return min(most, max(least, 1 / rho - 1 if rho > 0 else most))
 
 
-def reputations(outcomes: DataFrame, *, suffixes: tuple[str, ...] = SUFFIXES, least: float = 1.0, most: float = 10_000.0) -> DataFrame:
+def reputations(outcomes: DataFrame, *, second: tuple[str, ...] = SECOND, least: float = 1.0, most: float = 10_000.0) -> DataFrame:
     """outcomes(host, n, bad): a row for each host with its posterior `mean` and `var` of the share of bad pages.
 
     Rates of suffixes shrink towards the rate of all pages, those of domains towards their suffix, those of hosts towards their domain;
-    hosts with n = 0 get what their domain has. Rows of one host are added up first. No rows: no reputations."""
+    hosts with n = 0 get what their domain has. Rows of one host are added up first, and the hosts, and later the domains, are kept in the shared folder, so that nothing
+    before them is gone through again for the few numbers that the driver asks for. No rows: no reputations."""
     hosts = outcomes.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    domain, suffix = levels(F.col("host"), suffixes)
-    hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
+    domain, suffix = levels(F.col("host"), second)
+    hosts = materialised(hosts.withColumns({"domain": domain, "suffix": suffix}))
     every = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     root = ((every.bad or 0) + 1) / ((every.n or 0) + 2)
     most = max(least, min(most, (every.n or 0) + 2))  # no prior weighs more than all outcomes together
     of_suffix = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("parent", F.lit(root))
     of_suffix = shrunk(of_suffix, strength(of_suffix, least, most))
-    of_domain = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).join(of_suffix.select("suffix", F.col("mean").alias("parent")), "suffix")
+    of_domain = materialised(hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).join(of_suffix.select("suffix", F.col("mean").alias("parent")), "suffix"))
     of_domain = shrunk(of_domain, strength(of_domain, least, most))
-    of_host = hosts.join(of_domain.select("domain", "suffix", F.col("mean").alias("parent")), ["domain", "suffix"])
+    of_host = materialised(hosts.join(of_domain.select("domain", "suffix", F.col("mean").alias("parent")), ["domain", "suffix"]))
     return shrunk(of_host, strength(of_host, least, most)).select("host", "domain", "suffix", "n", "bad", "mean", "var")
 
 
@@ -82,11 +85,12 @@ def judge(pages: DataFrame, outcomes: DataFrame, *, url: str = "url", rules: lis
 
     outcomes(url, bad): labelled pages; rows with null bad are left out of the counts. A page without a rule is blocked when the lower bound
     mean - z * sd of its host's share of bad pages exceeds max_bad. Null urls and urls without "://" have the host "", a host like any
-    other. Empty tables give empty results, or without outcomes a share of 0.5 with a wide bound, which blocks nothing. Repeated rows are
-    judged each. Columns with the new names give way. The join on the host is left to adaptive execution, which splits a frequent host."""
+    other. Urls may have any length. Empty tables give empty results, or without outcomes a share of 0.5 with a wide bound, which blocks nothing. Repeated rows are
+    judged each. Columns with the new names give way, others may have any name. The join on the host is left to adaptive execution, which splits a frequent host."""
     new = ["host", "path", "rule", "bad_rate", "bound", "verdict"]
     kept = [c for c in (pages.columns if keep is None else keep) if c not in new]
-    own = pages.select(*(pages[c] for c in kept), parsed(pages[url]).alias("_u")).select(*kept, F.col("_u.host").alias("host"), F.col("_u.path").alias("path"))
+    (made,) = fresh(pages, "parsed")
+    own = pages.select(*(pages[c] for c in kept), parsed(pages[url]).alias(made)).select(*kept, F.col(f"{made}.host").alias("host"), F.col(f"{made}.path").alias("path"))
     seen = outcomes.where("bad is not null").select(parsed(F.col("url"))["host"].alias("host"), F.lit(1).cast("long").alias("n"), F.col("bad").cast("long").alias("bad"))
     counted = seen.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     all_hosts = own.groupBy("host").agg(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bad"))
