@@ -6,12 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .native import SPACES, count_of, let, space_words, total
+from .words import fresh
 
 SYMBOLS = "#*$%&|<>"
-#: Marks that end a sentence or a clause, marks between links, and words of page furniture (lower case).
-ENDS = r"[.!?:;…。！？]"
+#: A mark that ends a sentence or a clause, with what may close after it, at a line's end; marks between links; and phrases of page furniture (lower case).
+ENDS = r"""[.!?:;…。！？]["'”’»)\]]*[\x09-\x0D\x20]*\z"""
 LINKS = "|>»•·›"
-FURNITURE = ("all rights reserved", "cookie policy", "enable javascript", "lorem ipsum", "powered by", "privacy policy", "sign in", "skip to content", "subscribe to", "terms of service", "terms of use")
+FURNITURE = (
+    "all rights reserved", "cookie policy", "enable javascript", "lorem ipsum", "powered by", "privacy policy", "sign in", "skip to content", "subscribe to", "terms of service", "terms of use",
+    "alle rechte vorbehalten", "cookie-richtlinie", "datenschutzerklärung", "javascript aktivieren", "newsletter abonnieren", "nutzungsbedingungen", "zum inhalt springen",
+    "accepter les cookies", "activer javascript", "aller au contenu", "conditions d'utilisation", "mentions légales", "politique de confidentialité", "tous droits réservés",
+    "aceptar cookies", "activar javascript", "aviso legal", "política de privacidad", "saltar al contenido", "términos de uso", "todos los derechos reservados",
+)
 INDEX_BITS = 24
 
 
@@ -56,7 +62,9 @@ def repeated_words(words: Column) -> Column:
 
 
 def line_fails(line: Column, n: Column, *, min_words: int, link_share: float, symbol_share: float) -> Column:
-    """Punctuation: a short line without the end of a sentence, or one full of symbols. Navigation: many marks between links. Furniture: phrases of page frames."""
+    """Punctuation: a short line that doesn't end like a sentence or a clause, or one full of symbols. Navigation: many marks between links. Boilerplate: phrases of page frames in four languages.
+
+    Phrases are a fixed list and not lines that many documents have: those are also the lines of a large group of copies, of which one document has to stay."""
     bare = (n < min_words) & ~line.rlike(ENDS)
     symbols = count_of(line, SYMBOLS) > symbol_share * F.length(line)
     links = count_of(line, LINKS)
@@ -75,7 +83,8 @@ def measured(docs: DataFrame, *, text: str = "text", min_words: int = 50, max_re
     Line first: lines of the text are held against punctuation, navigation and furniture rules, and clean_text is the text without those
     that fail; a document is rejected (kept is false) that has fewer than min_words words, more than max_repeat of them in repeated
     windows of three, or loses more than max_lost of its words with its lines. Null text: no words, rejected, clean_text null. Lines
-    without a word stay. Repeated rows each get the same values. Columns of docs with the new names give way. No shuffle: a row's result comes from the row alone."""
+    without a word stay. Texts of any length are gone through whole. Repeated rows each get the same values; no rows give no rows. Columns of docs with the new names give way, others may have any name.
+    No shuffle: a row's result comes from the row alone."""
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_kept_words", "clean_text", "base_failed", "kept"]
     own = [c for c in docs.columns if c not in new]
     whole = F.coalesce(docs[text], F.lit(""))
@@ -101,16 +110,21 @@ def measured(docs: DataFrame, *, text: str = "text", min_words: int = 50, max_re
         )
 
     lines = F.transform(F.split(whole, "\n"), lambda x: F.struct(x.alias("line"), F.size(space_words(x)).alias("n")))
-    found = docs.select(*(docs[c] for c in own), F.struct(let(space_words(whole), of_words).alias("w"), let(lines, of_lines).alias("l")).alias("_m"))
+    (made,) = fresh(docs, "made")
+    found = docs.select(*(docs[c] for c in own), F.struct(let(space_words(whole), of_words).alias("w"), let(lines, of_lines).alias("l")).alias(made))
     bad = (F.col("n_words") < min_words) | (F.lit(100) * F.col("n_repeat_words") > F.lit(int(round(100 * max_repeat))) * F.col("n_words"))
     return found.select(
-        *own, F.col("_m.w.n_words").alias("n_words"), (F.length(F.coalesce(text, F.lit(""))) - count_of(F.coalesce(text, F.lit("")), SPACES)).cast("long").alias("word_chars"),
-        count_of(F.coalesce(text, F.lit("")), SYMBOLS).cast("long").alias("n_symbols"), F.col("_m.l.n_dup_lines").alias("n_dup_lines"), F.col("_m.w.n_repeat_words").alias("n_repeat_words"),
-        F.col("_m.l.n_lines").alias("n_lines"), F.col("_m.l.n_kept_words").alias("n_kept_words"), F.when(F.col(text).isNotNull(), F.col("_m.l.clean_text")).alias("clean_text"),
+        *own, F.col(f"{made}.w.n_words").alias("n_words"), (F.length(F.coalesce(text, F.lit(""))) - count_of(F.coalesce(text, F.lit("")), SPACES)).cast("long").alias("word_chars"),
+        count_of(F.coalesce(text, F.lit("")), SYMBOLS).cast("long").alias("n_symbols"), F.col(f"{made}.l.n_dup_lines").alias("n_dup_lines"), F.col(f"{made}.w.n_repeat_words").alias("n_repeat_words"),
+        F.col(f"{made}.l.n_lines").alias("n_lines"), F.col(f"{made}.l.n_kept_words").alias("n_kept_words"), F.when(F.col(text).isNotNull(), F.col(f"{made}.l.clean_text")).alias("clean_text"),
     ).select("*", bad.alias("base_failed"), (~bad & (F.col("n_kept_words") >= (1 - max_lost) * F.col("n_words"))).alias("kept"))
 
 
 def cleaned(docs: DataFrame, *, text: str = "text", **how) -> DataFrame:
-    """The documents' own columns without rejected documents, failing lines gone from the texts."""
-    found = measured(docs, text=text, **how).where("kept")
-    return found.select(*(F.col("clean_text").alias(c) if c == text else F.col(c) for c in docs.columns if c in found.columns))
+    """The documents' own columns without rejected documents (those with null or empty texts among them), failing lines gone from the texts. Columns may have any name.
+
+    Repeated rows stay or go together; no rows give no rows; see measured()."""
+    (own,) = fresh(docs, "own")
+    others = [c for c in docs.columns if c != text]
+    found = measured(docs.select(F.struct(*(docs[c] for c in others)).alias(own) if others else F.lit(None).alias(own), docs[text].alias("text")), **how).where("kept")
+    return found.select(*(F.col("clean_text").alias(c) if c == text else F.col(own)[c].alias(c) for c in docs.columns))

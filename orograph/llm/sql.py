@@ -41,7 +41,7 @@ def count_of(column: str, chars: str) -> str:
 def quality_rules() -> str:
     phrases = " or ".join(f"contains(lower(l), {text(x)})" for x in quality.FURNITURE)
     links = count_of("l", quality.LINKS)
-    fails = f"(n < 5 and not regexp_matches(l, '{quality.ENDS}')) or {count_of('l', quality.SYMBOLS)} > 0.1::double * length(l) or ({links} >= 3 and {links} > 0.2::double * n) or (n <= 40 and ({phrases}))"
+    fails = f"(n < 5 and not regexp_matches(l, {text(quality.ENDS)})) or {count_of('l', quality.SYMBOLS)} > 0.1::double * length(l) or ({links} >= 3 and {links} > 0.2::double * n) or (n <= 40 and ({phrases}))"
     return f"""with d as (select doc_id, coalesce(text, '') as t, {words("coalesce(text, '')", BLANK)} as ws from documents),
 lines as (select doc_id, l, len({words('l', BLANK)}) as n from (select doc_id, unnest(string_split(t, chr(10))) as l from d)),
 by_line as (select doc_id, sum(case when n > 0 and not ({fails}) then n else 0 end)::bigint as n_kept_words, (count(*) filter (where n > 0) - count(distinct l) filter (where n > 0))::bigint as n_dup_lines from lines group by doc_id),
@@ -85,7 +85,8 @@ def url_judgement() -> str:
     two = "array_to_string(list_slice(string_split(host, '.'), -2, -1), '.')"
     three = "array_to_string(list_slice(string_split(host, '.'), -3, -1), '.')"
     last = "list_slice(string_split(host, '.'), -1, -1)[1]"
-    known = ", ".join(map(text, url_filter.SUFFIXES))
+    second = "list_slice(string_split(host, '.'), -2, -2)[1]"
+    known = f"regexp_full_match(last_, '[a-z][a-z]') and second_ in ({', '.join(map(text, url_filter.SECOND))})"
 
     def level(name: str, source: str) -> str:
         """A level's posterior: its prior's strength by moments over all rows of the level."""
@@ -96,9 +97,9 @@ def url_judgement() -> str:
     return f"""with own as {parsed('pages', 'page_id, url')},
   seen as (select host, bad from (select host, case when regexp_extract(path, '/([0-9]{{1,18}})', 1) <> '' then regexp_extract(path, '/([0-9]{{1,18}})', 1)::bigint end as doc_id from own)
     join (select doc_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad from labels group by doc_id) using (doc_id)),
-  hosts as (select host, coalesce(n, 0) as n, coalesce(bad, 0) as bad, case when regexp_full_match(last_, '[0-9]+') then host when two_ in ({known}) then three_ else two_ end as domain,
-      case when regexp_full_match(last_, '[0-9]+') then '' when two_ in ({known}) then two_ else last_ end as suffix
-    from (select host, {last} as last_, {two} as two_, {three} as three_ from (select distinct host from own)) left join (select host, count(*) as n, sum(bad) as bad from seen group by host) using (host)),
+  hosts as (select host, coalesce(n, 0) as n, coalesce(bad, 0) as bad, case when regexp_full_match(last_, '[0-9]+') then host when {known} then three_ else two_ end as domain,
+      case when regexp_full_match(last_, '[0-9]+') then '' when {known} then two_ else last_ end as suffix
+    from (select host, {last} as last_, {two} as two_, {second} as second_, {three} as three_ from (select distinct host from own)) left join (select host, count(*) as n, sum(bad) as bad from seen group by host) using (host)),
   every as (select sum(n) as n, sum(bad) as bad from hosts),
   s as (select suffix, sum(n) as n, sum(bad) as bad, (select (bad + 1.0::double) / (n + 2) from every) as parent from hosts group by suffix), {level('s', 's')},
   d as (select x.*, s_p.mean as parent from (select suffix, domain, sum(n) as n, sum(bad) as bad from hosts group by all) x join s_p using (suffix)), {level('d', 'd')},
