@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import materialised
-from .words import ALNUM, map_texts, numbers, rolling, words
+from .words import ALNUM, fresh, map_texts, numbers, rolling, words
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType(), False), T.StructField("end", T.IntegerType(), False)]), False)
 FIELDS = [T.StructField("n_words", T.LongType(), False), T.StructField("hit_spans", SPANS, False), T.StructField("items", T.ArrayType(T.StringType(), False), False)]
@@ -109,7 +109,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, text: str = "tex
     A window is n consecutive words of an item, or all words of a shorter item. The windows go to the tasks as a broadcast of at most
     about `most` numbers; a larger benchmark is gone through in blocks of that size, one pass over the documents for each, their results
     kept in the shared folder between passes. A null or empty text has no words; a null item id counts as the empty string; rows that
-    repeat are each marked. Empty documents or benchmark: no hits. Columns named like the three new ones are dropped."""
+    repeat are each marked; texts of any length are gone through whole. Empty documents or benchmark: no hits. Columns named like the three new ones are dropped, others may have any name."""
     kept = [c for c in (docs.columns if keep is None else keep) if c not in {f.name for f in FIELDS}]
     out = None
     for vocabulary, tables in blocks(benchmark, n, item, item_text, most):
@@ -125,8 +125,10 @@ def find(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, text: str = "tex
         if out is None:
             out = map_texts(docs, text, FIELDS, start, list(dict.fromkeys([*kept, text])))
             continue
-        more = map_texts(out.withColumnsRenamed({"n_words": "_n", "hit_spans": "_spans", "items": "_items"}), text, FIELDS, start)
-        out = materialised(more.withColumns({"items": F.array_sort(F.array_union("_items", "items")), "hit_spans": united(F.concat("_spans", "hit_spans"))}).drop("_n", "_spans", "_items"))
+        before = dict(zip((f.name for f in FIELDS), fresh(out, *(f.name for f in FIELDS))))
+        more = map_texts(out.withColumnsRenamed(before), text, FIELDS, start)
+        every = {"items": F.array_sort(F.array_union(before["items"], "items")), "hit_spans": united(F.concat(before["hit_spans"], "hit_spans"))}
+        out = materialised(more.withColumns(every).drop(*before.values()))
     return out.select(*kept, *(f.name for f in FIELDS))
 
 
@@ -160,11 +162,17 @@ def without_spans(text: bytes, spans: list) -> bytes:
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, *, mode: str = "documents", text: str = "text", **how) -> DataFrame:
-    """The documents' own columns without contaminated documents, or (mode="spans") with the hit words cut out of the texts."""
-    found = find(docs, benchmark, text=text, **how)
-    if mode == "documents":
-        return found.where(F.size("hit_spans") == 0).select(*(c for c in docs.columns if c in found.columns))
-    if mode != "spans":
+    """The documents' own columns without contaminated documents, or (mode="spans") with the hit words cut out of the texts.
+
+    Documents with null or empty texts stay as they are, repeated rows stay or go together, and of any length; no documents give none, no benchmark takes none. Columns may have any name."""
+    if mode not in ("documents", "spans"):
         raise ValueError("mode is documents or spans")
+    # the columns go through find() under names that it hasn't
+    own = {c: f"column{i}" for i, c in enumerate(docs.columns)}
+    found = find(docs.select(*(docs[c].alias(n) for c, n in own.items())), benchmark, text=own[text], **how)
+    clean = F.size("hit_spans") == 0
+    if mode == "documents":
+        return found.where(clean).select(*(F.col(n).alias(c) for c, n in own.items()))
     cut = F.udf(lambda t, s: None if t is None else without_spans(t.encode(), s).decode(), "string", useArrow=True)
-    return found.withColumn(text, F.when(F.size("hit_spans") == 0, F.col(text)).otherwise(cut(text, "hit_spans"))).select(*(c for c in docs.columns if c in found.columns))
+    texts = F.when(clean, F.col(own[text])).otherwise(cut(own[text], "hit_spans"))
+    return found.select(*((texts if c == text else F.col(n)).alias(c) for c, n in own.items()))

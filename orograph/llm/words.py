@@ -74,11 +74,11 @@ def rolling(values: np.ndarray, k: int) -> np.ndarray:
 
 
 def slices(lengths: Iterable[int], most: int = CHUNK) -> Iterator[tuple[int, int]]:
-    """Runs of rows of about `most` bytes; a longer row is a run of its own."""
+    """Runs of at most 65,536 rows of about `most` bytes; a longer row ends its run."""
     start = n = at = 0
     for at, length in enumerate(lengths, 1):
         n += length
-        if n >= most:
+        if n >= most or at - start == 1 << 16:
             yield start, at
             start, n = at, 0
     if start < at:

@@ -98,6 +98,14 @@ def test_one_of_each(spark):
     assert {10, 11, 16} <= set(ids)
 
 
+def test_near_copies_of_nothing(spark):
+    for how in ({}, {"shingle": 5, "radius": 34, "parts": 2, "similarity": 0.8}):
+        assert simhash.one_of_each(spark.createDataFrame([], COLUMNS), **how).count() == 0
+        docs = clashing(documents(spark), "_doc", "_mark", "doc", "mark", "m", "least", "node")
+        kept = simhash.one_of_each(docs, **how)
+        assert kept.columns == docs.columns and kept.where("_doc = 'own' and _mark = 'own' and doc = 'own'").count() == kept.count() > 20
+
+
 def jaccard(a, b):
     x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := space_words(low(t))) else set() for t in (a, b))
     return len(x & y) / len(x | y) if x | y else 1.0
@@ -244,6 +252,39 @@ def test_shards(spark, slack):
     assert sharding.assign(spark.createDataFrame([], COLUMNS), 8).count() == 0
 
 
+def test_shards_by_walking_the_ring(spark):
+    """Key by key: each to its own arc's shard while that has room; what is left over walks on clockwise, arc by arc, to the first shard with room."""
+    nodes = sorted((xxhash.xxh64_intdigest(f"{s}/{v}") - (1 << 63), s) for s in range(5) for v in range(64))
+    ids = list(range(700)) + [3] * 150 + [None] * 40
+    random.Random(0).shuffle(ids)
+    docs = spark.createDataFrame([(i, "x") for i in ids], "doc_id long, text string")
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    at = [signed(xxhash.xxh64_intdigest("" if i is None else str(i), 42)) for i in ids]
+    keys = sorted((next((a for a, (end, _) in enumerate(nodes) if p <= end), 0), p, "" if i is None else str(i)) for i, p in zip(ids, at))
+    for slack, room in ((0.0, [len(ids) // 5 + (s < len(ids) % 5) for s in range(5)]), (0.3, sharding.capacities(len(ids), 5, 0.3).tolist())):
+        want, over = Counter(), []
+        for a, _, key in keys:
+            if room[s := nodes[a][1]]:
+                room[s] -= 1
+                want[key, s] += 1
+            else:
+                over.append((a, key))
+        for a, key in over:
+            while not room[s := nodes[a := (a + 1) % len(nodes)][1]]:
+                pass
+            room[s] -= 1
+            want[key, s] += 1
+        assert over and Counter(("" if r.doc_id is None else str(r.doc_id), r.shard) for r in sharding.assign(docs, 5, slack=slack).collect()) == want
+
+
+def test_rows_moved_by_a_ninth_shard(spark):
+    """As registered (no slack): the new shard's ninth moves, and few rows between the others, whose capacities all shrink."""
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    eight, nine = ({r.doc_id: r.shard for r in sharding.assign(docs, n).collect()} for n in (8, 9))
+    assert sum(nine[d] == 8 for d in nine) == 20_000 // 9
+    assert sum(nine[d] not in (8, eight[d]) for d in nine) < 0.05 * 20_000
+
+
 def test_slack_moves_fewer_keys(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     moved = {}
@@ -409,6 +450,23 @@ def test_url_parts_and_rules(spark):
     }
 
 
+def test_pages_of_odd_kinds(spark):
+    """No pages, pages that repeat, a very long url, helper names that the input has."""
+    none = spark.createDataFrame([], "url string, bad int")
+    assert url_filter.judge(spark.createDataFrame([], "page_id int, url string"), none).count() == 0
+    long = "http://a.b.gov.br/" + "x/" * 200_000
+    pages = clashing(spark.createDataFrame([(1, long), (1, long), (2, None), (2, None)], "page_id int, url string"), "_parsed", "_u", "n", "bad", "mean", "var", "domain", "parent")
+    found = url_filter.judge(pages, spark.createDataFrame([(long, 1)] * 40 + [(long, None)], "url string, bad int"))
+    assert found.columns == [*pages.columns, "host", "path", "rule", "bad_rate", "bound", "verdict"]
+    assert Counter((r.page_id, r.host, r.verdict, r._u, r["var"]) for r in found.collect()) == {(1, "a.b.gov.br", "block", "own", "own"): 2, (2, "", "allow", "own", "own"): 2}
+
+
+def test_suffixes(spark):
+    hosts = {"a.b.gov.br": ("b.gov.br", "gov.br"), "x.co.uk": ("x.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "www.a.com": ("a.com", "com"), "x.de": ("x.de", "de"), "": ("", ""), "uk": ("uk", "uk"), "10.0.0.1": ("10.0.0.1", ""), "a.com.info": ("com.info", "info")}
+    found = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", *(c.alias(n) for c, n in zip(url_filter.levels(F.col("host"), url_filter.SECOND), ("domain", "suffix")))).collect()
+    assert {r.host: (r.domain, r.suffix) for r in found} == hosts
+
+
 def test_reputation_shrinks_to_the_domain(spark):
     rows = [(f"bad{i}.evil.org", 50, 45) for i in range(5)] + [(f"h{i}.fine.org", 50, 2) for i in range(5)] + [("new.evil.org", 0, 0), ("new.fine.org", 0, 0), ("one.fine.org", 1, 1)]
     found = {r.host: r for r in url_filter.reputations(spark.createDataFrame(rows, "host string, n long, bad long")).collect()}
@@ -457,20 +515,20 @@ def test_copies_do_not_fill_the_sample(spark, monkeypatch):
     monkeypatch.setattr(weak_labels, "fit", lambda rows, *a: drawn.append(rows) or fit(rows, *a))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert weak_labels.classify(docs, sample=120).count() == 700
-    known = {tuple(np.union1d(*weak_labels.features((t or "").encode(), weak_labels.Buckets(1 << 18))[:2])): i for i, t in enumerate([*hot, "equal rows"])}
+    known = {tuple(weak_labels.Features([(t or "").encode()], weak_labels.Buckets(1 << 18)).both()): i for i, t in enumerate([*hot, "equal rows"])}
     found = Counter(known.get(tuple(r), 4) for r in drawn[0])
     assert sum(found.values()) == 120 and found[3] <= 1 and all(6 <= found[k] <= 40 for k in range(3))
     judged = spark.createDataFrame([(i, 1, 0) for i in range(300, 400)], "doc_id long, quality int, toxic int")
     weak_labels.classify(docs, judged, sample=120).count()
-    own = {tuple(np.union1d(*weak_labels.features(t.encode(), weak_labels.Buckets(1 << 18))[:2])) for t in texts[300:400]}
+    own = {tuple(weak_labels.Features([t.encode()], weak_labels.Buckets(1 << 18)).both()) for t in texts[300:400]}
     assert own <= {tuple(r) for r in drawn[2]}
 
 
 def test_most_frequent_word_of_a_long_text(monkeypatch):
     text = b"same " * 300 + b"other words " * 20
-    want = weak_labels.shapes(text, words.Hashes())
+    want = weak_labels.shapes([text, b"a"], weak_labels.Marked())
     monkeypatch.setattr(words, "SLICE", 100)
-    assert want[2] == 300 / 340 and (weak_labels.shapes(text, words.Hashes()) == want).all()
+    assert want[0, 2] == 300 / 340 and (weak_labels.shapes([text, b"a"], weak_labels.Marked()) == want).all()
 
 
 def test_shapes_and_votes_against_plain_counts():
@@ -478,8 +536,12 @@ def test_shapes_and_votes_against_plain_counts():
     lexicons = weak_labels.Lexicons(np.array([xxhash.xxh64_intdigest(b"two") % (1 << 18)]), np.array([xxhash.xxh64_intdigest(b"chang", 1) % (1 << 18)]))
     nothing = weak_labels.Lexicons(np.empty(0, int), np.empty(0, int))
     seen = set()
-    for t in [x or "" for x in odd_texts()] + ["YOU IDIOT!! STOP!! NOW!!", "a stupid thing", "changes and a moron, moron!", "A. B. " * 30]:
-        raw = t.encode()
+    texts = [x or "" for x in odd_texts()] + ["YOU IDIOT!! STOP!! NOW!!", "a stupid thing", "changes and a moron, moron!", "A. B. " * 30]
+    raws = [t.encode() for t in texts]
+    every, features = weak_labels.shapes(raws, weak_labels.Marked()), weak_labels.Features(raws, weak_labels.Buckets(1 << 18))
+    lists = list(zip(features.lists(features.words), features.lists(features.stems)))
+    said, unsaid = weak_labels.votes(every, features, lexicons), weak_labels.votes(every, features, nothing)
+    for i, (t, raw) in enumerate(zip(texts, raws)):
         w, lines = space_words(t), [x for x in raw.split(b"\n") if x.strip()]
         three = Counter(zip(w, w[1:], w[2:]))
         n = max(1, len(w))
@@ -487,19 +549,17 @@ def test_shapes_and_votes_against_plain_counts():
             8 * sum(x in b"#*$%&|<>{}[]\\^~_=+@" for x in raw) / max(1, len(raw)), sum(c for c in three.values() if c > 1) / n, max(Counter(w).values(), default=0) / n, 2 * sum(65 <= x <= 90 for x in raw) / max(1, len(raw)),
             sum(not x.rstrip().endswith(weak_labels.ENDS) for x in lines) / max(1, len(lines)), sum(len(x.encode()) < 3 for x in w) / n, 250 / max(50, 5 * len(w)) if len(w) < 50 else 0, 10 * t.count("!") / n,
         ]
-        shape = weak_labels.shapes(raw, words.Hashes())
-        assert shape == pytest.approx([min(1.0, x) for x in want])
+        assert every[i] == pytest.approx([min(1.0, x) for x in want])
         plain = [x.encode() for x in plain_words(t)]
-        found = weak_labels.features(raw, weak_labels.Buckets(1 << 18))
-        assert found[2] == sum(x.decode(errors="replace") in weak_labels.ABUSE for x in plain)
+        abuse = sum(x.decode(errors="replace") in weak_labels.ABUSE for x in plain)
+        assert features.abuse[i] == abuse and set(lists[i][0]) == {xxhash.xxh64_intdigest(x) % (1 << 18) for x in plain}
         over = lambda x, high, low: 0 if x > high else 1 if x < low else 2
         s = [min(1.0, x) for x in want]
         quality = [over(s[0], 0.35, 0.15), over(s[1], 0.4, 0.15), over(s[2], 0.3, 0.15), over(s[3], 0.7, 0.3), over(s[4], 0.8, 0.4), 0 if s[5] > 0.6 else 2, 0 if s[6] > 0.9 else 2]
-        toxic = [1 if found[2] else 2, int(b"two" in plain), int(any(x.startswith(b"chang") and len(x) > 5 for x in plain)), 1 if s[7] > 0.5 and s[3] > 0.5 else 2 if s[7] else 0]
+        toxic = [1 if abuse else 2, int(b"two" in plain), int(any(x.startswith(b"chang") and len(x) > 5 for x in plain)), 1 if s[7] > 0.5 and s[3] > 0.5 else 2 if s[7] else 0]
         digits = lambda v, k: [v // 3**i % 3 for i in range(k)]
-        q, x = weak_labels.votes(shape, found, lexicons)
-        assert digits(q, 7) == quality and digits(x, 4) == toxic
-        assert digits(weak_labels.votes(shape, found, nothing)[1], 4)[1:3] == [2, 2]
+        assert digits(said[0][i], 7) == quality and digits(said[1][i], 4) == toxic
+        assert digits(unsaid[1][i], 4)[1:3] == [2, 2] and unsaid[1][i] + lexicons.votes(*lists[i]) == said[1][i]
         seen |= set(enumerate(toxic))
     assert {(0, 1), (0, 2), (1, 0), (1, 1), (2, 0), (2, 1), (3, 0), (3, 1), (3, 2)} <= seen
 

@@ -205,4 +205,4 @@ def test_long_texts_are_cut_between_words(monkeypatch):
 
 def test_runs_of_rows_are_bounded():
     assert list(words.slices([5, 5, 100, 1, 1], 10)) == [(0, 2), (2, 3), (3, 5)]
-    assert list(words.slices([], 10)) == []
+    assert list(words.slices([], 10)) == [] and list(words.slices([0] * 70_000)) == [(0, 65_536), (65_536, 70_000)]

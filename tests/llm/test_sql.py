@@ -6,9 +6,11 @@ from pathlib import Path
 import duckdb
 import pytest
 
+import corpus_pipeline
 from orograph.llm import queries
 
 from ..test_queries import SF, TABLES, rows
+from .helpers import COLUMNS, clashing, documents
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
@@ -43,3 +45,21 @@ def test_pipeline_stages(spark, tmp_path):
         assert i == 4 or docs.columns == columns and docs.where("n_chars <> length(text)").isEmpty()
     assert counts[0] > counts[1] >= counts[2] >= counts[3] >= counts[4] > 0
     assert corpus_pipeline.run(spark, SF).agg({"length": "sum"}).first()[0] == docs.agg({"length": "sum"}).first()[0]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_on_odd_tables(spark, name):
+    """No rows, null and empty texts, rows that come twice, and columns with the names of helpers: no crash; the own columns come back, clean documents with them."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    empty = spark.createDataFrame([], COLUMNS)
+    assert stage(spark, empty, SF).count() == 0
+    nothing = spark.createDataFrame([(1, None, None, None, None), (2, "", None, None, 0), (None, None, None, None, None)] * 2, COLUMNS)
+    assert stage(spark, nothing, SF).count() == {"quality rules": 0, "line dedup": 6, "SimHash near-dedup": 1, "benchmark decontamination": 6, "packing": 6}[name]
+    names = ["_m", "_f", "_u", "_k1", "_k2", "_doc", "_mark", "_own", "_text", "_cut", "made", "own", "kept", "items", "n_words", "spans", "least", "hit_spans", "clean_text", "start"]
+    docs = clashing(documents(spark), *names)
+    found = stage(spark, docs, SF)
+    if name == "packing":
+        assert found.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+    else:
+        assert found.columns == docs.columns and found.count() > 5
+        assert found.where(" or ".join(f"{c} <> 'own'" for c in names)).isEmpty() and not found.where("doc_id = 16").isEmpty()
