@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import Folder, cleared, materialised
-from .words import LOWER, fresh, numbers, slices, texts_of
+from .shared import forget, materialised, stored
+from .words import LOWER, fresh, numbers, slices, small_batches, texts_of
 
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 SPANS = "array<struct<start:int,end:int>>"
@@ -93,9 +93,8 @@ class Texts:
 
 
 def split(least: int) -> tuple[int, int]:
-    """k, w: of windows of k units each w in a row are `least` units. Two in w + 1 windows are fingerprints, so w is the larger part; k still has to be rare."""
-    w = max(1, 2 * least // 3)
-    return least - w + 1, w
+    """k, w: of windows of k units each w in a row are `least` units. Longer ones are rarer, but so more of them are fingerprints."""
+    return least // 2 + 1, least - least // 2
 
 
 def batched(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, Texts]]:
@@ -193,38 +192,34 @@ def repeated(docs: DataFrame, *, min_words: int = 50, min_lines: int = 3) -> Dat
     several: their windows are hashed one by one, joined with the first place of each, and cut where that is another. Nothing depends on
     what surrounds the first place of a fingerprint, and nothing is compared with more than first places.
     Frequent keys become a row for each task before the shuffle, and the joins back can be split by adaptive execution."""
+    small_batches(docs.sparkSession)
     spark, sizes = docs.sparkSession, {True: min_lines, False: min_words}
-    folder, whole = Folder(spark, "fingerprints"), Folder(spark, "windows")
-    fingerprints(docs, "text", sizes).write.parquet(folder.uri)
-    every = spark.read.parquet(folder.uri)
+    every, of_every = stored(fingerprints(docs, "text", sizes), "fingerprints")
     # what is joined is kept apart from the join, whose sides are then plain shuffles that adaptive execution can split at a frequent key
-    again = materialised(every.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
-    places = materialised(every.join(again, "fp").withColumn("place", place()))
-    folder.delete()
-    del every, again
-    cleared(spark)
-    contexts = materialised(places.groupBy("fp", "context").agg(F.min("place").alias("first"), F.count("*").alias("n")))
-    several = materialised(contexts.groupBy("fp").agg(F.count("*").alias("contexts")).where("contexts > 1").select("fp"))
+    again, of_again = stored(every.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "again")
+    places, of_places = stored(every.join(again, "fp"), "places")
+    forget(spark, of_every, of_again)
+    contexts, of_contexts = stored(places.groupBy("fp", "context").agg(F.min(place()).alias("first"), F.count("*").alias("n")), "contexts")
+    several, of_several = stored(contexts.groupBy("fp").agg(F.count("*").alias("contexts")).where("contexts > 1").select("fp"), "several")
     open_ = contexts.join(several, "fp", "left_semi").select("fp", "context", F.lit(True).alias("open"))
-    known = materialised(contexts.join(open_, ["fp", "context"], "left").where("n > 1 or open").select("fp", "context", "first", F.coalesce("open", F.lit(False)).alias("open")))
-    marked = materialised(places.join(known, ["fp", "context"]).where("place > first or open").select("k1", "k2", "start", "end", "lines", (F.col("place") > F.col("first")).alias("later")))
-    del places, contexts, several, open_, known
-    cleared(spark)
+    known = contexts.join(open_, ["fp", "context"], "left").where("n > 1 or open").select("fp", "context", "first", F.coalesce("open", F.lit(False)).alias("open"))
+    known, of_known = stored(known, "known")
+    forget(spark, of_contexts, of_several)
+    later = place() > F.col("first")
+    marked, of_marked = stored(places.join(known, ["fp", "context"]).where(later | F.col("open")).select("k1", "k2", "start", "end", "lines", later.alias("later")), "marked")
+    forget(spark, of_places, of_known)
     lists = materialised(marked.where("not later").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end", "lines")).alias("contexts")))
-    texts = docs.join(lists, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "contexts", "text")
-    windows(texts, sizes).write.parquet(whole.uri)
-    del texts
-    cleared(spark)
-    found = spark.read.parquet(whole.uri).withColumn("place", place())
-    first = materialised(found.groupBy("h").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first"))
-    later = found.join(first, "h").where("place > first").select("k1", "k2", "start", "end")
-    out = materialised(united(marked.where("later").select("k1", "k2", "start", "end").unionByName(later)))
-    whole.delete()
+    found, of_found = stored(windows(docs.join(lists, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "contexts", "text"), sizes), "windows")
+    forget(spark)
+    first, of_first = stored(found.groupBy("h").agg(F.min(place()).alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first"), "first")
+    repeats = found.join(first, "h").where(place() > F.col("first")).select("k1", "k2", "start", "end")
+    out = materialised(united(marked.where("later").select("k1", "k2", "start", "end").unionByName(repeats)))
+    forget(spark, of_marked, of_found, of_first)
     return out
 
 
-def without(text: bytes, spans: list[dict]) -> bytes:
-    """The text without the words of the spans; lines that lose all their words go."""
+def without(text: bytes, spans: list[dict]) -> tuple[bytes, int, int]:
+    """The text without the words of the spans (lines that lose all their words go), how many words are left, and how many there were."""
     at = [m.span() for m in WORD.finditer(text)]
     out, done = b"", 0
     for s in [*spans, None]:
@@ -237,7 +232,7 @@ def without(text: bytes, spans: list[dict]) -> bytes:
             piece = piece.lstrip(b" \t")
         out += piece
         done = at[s["end"] - 1][1] if s else done
-    return out
+    return out, len(at) - sum(s["end"] - s["start"] for s in spans), len(at)
 
 
 def marked(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", carry: list[Column] | None = None, **how) -> DataFrame:
@@ -255,15 +250,17 @@ def marked(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", carry: l
     return joined.withColumn("spans", F.coalesce(spans, F.array().cast(SPANS))).drop(k1, k2, *([spans] if spans != "spans" else []))
 
 
-def cut(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The documents' own columns, which may have any name, later repeats cut out of the texts; documents of which nothing is left are dropped, those that had no words stay.
+def cut(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", least_words: int = 0, least_share: float = 0.0, **how) -> DataFrame:
+    """The documents' own columns, which may have any name, later repeats cut out of the texts.
+
+    Documents of which nothing is left are dropped, and those that keep both fewer than least_words words and less than least_share of them: remnants of near-copies. Those that lose nothing stay.
 
     See marked() for nulls, ties, repeated rows, long texts and empty tables."""
     # the columns go through marked() under names that it hasn't
     own = {c: f"column{i}" for i, c in enumerate(docs.columns)}
     rows = marked(docs.select(*(docs[c].alias(n) for c, n in own.items())), doc=own[doc], text=own[text], **how)
     names, at = list(own.values()), docs.columns.index(text)
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("cut", T.BooleanType(), False)])
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("gone", T.BooleanType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -271,9 +268,13 @@ def cut(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", **how) -> D
         types = to_arrow_schema(schema)
         for b in batches:
             spans = b.column(len(names)).to_pylist()
-            texts = [without(t.encode(), s).decode() if s else t for t, s in zip(b.column(at).to_pylist(), spans)]
+            texts, gone = b.column(at).to_pylist(), np.zeros(len(b), bool)
+            for i, s in enumerate(spans):
+                if s:
+                    left, n, whole = without(texts[i].encode(), s)
+                    texts[i], gone[i] = left.decode(), not n or n < least_words and n < least_share * whole
             columns = [pa.array(texts, types.field(i).type) if i == at else b.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([bool(s) for s in spans])], schema=types)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(gone)], schema=types)
 
-    left = rows.mapInArrow(run, schema).where(~F.col("cut") | F.col(own[text]).rlike(r"[^\x20\x09-\x0D]"))
+    left = rows.mapInArrow(run, schema).where(~F.col("gone"))
     return left.select(*(F.col(n).alias(c) for c, n in own.items()))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .words import LOWER, fresh, slices, texts_of, words
+from .words import LOWER, fresh, slices, small_batches, texts_of, words
 
 #: Letters that normalisation at most lower-cases, then marks that are a piece of their own.
 PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:;=-@\[-`{-~]*)")
@@ -116,6 +116,7 @@ def pack(docs: DataFrame, spec: str, *, capacity: int = 2048, whole: int = 128,
     Padding is counted to `capacity`, or none at a power of two. A task holds one open sequence for each class, whatever its rows.
     A null or empty text is one piece, the end id. Repeated rows are packed each for itself. No rows: no sequences.
     Texts are packed whole, however long. Columns of `keep` that bear a new column's name are dropped, others may have any name."""
+    small_batches(docs.sparkSession)
     fields = [T.StructField(n, T.LongType(), False) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens", "padding")]
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)] * with_ids
     kept = [c for c in keep if c not in {f.name for f in fields}]

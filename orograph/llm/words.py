@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -90,10 +91,21 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()]
 
 
+BATCH = 8 << 20
+
+
+def small_batches(spark) -> None:
+    """No more than BATCH bytes (or one row) at once between Spark and Python, on both sides; the session's setting is lowered where it is larger. 10,000 rows of long texts would fill a worker's memory."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(re.sub(r"\D", "", spark.conf.get(name))) <= BATCH:
+        spark.conf.set(name, str(BATCH))
+
+
 def map_texts(df: DataFrame, text: str, fields: list[T.StructField], start: Callable[[], Callable], keep: list[str] | None = None) -> DataFrame:
     """`keep` (default: all columns) and the new fields; a kept column with a new field's name gives way to it.
 
     start() is called once in each task; what it returns turns a list of texts (bytes) into one Arrow array or list for each field."""
+    small_batches(df.sparkSession)
     new = {f.name for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c not in new]
     schema = T.StructType([*(df.schema[c] for c in kept), *fields])

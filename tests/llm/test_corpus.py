@@ -190,6 +190,7 @@ def test_passages(spark):
     assert 4 not in cut and cut[1] == texts[1] and cut[5] is None and cut[6] == ""
     assert cut[3] == texts[3].split("\n")[1] and space_words(cut[7]) == space_words(texts[7])[:5] + space_words(texts[7])[56:116]
     assert line_dedup.cut(spark.createDataFrame([], COLUMNS)).count() == 0
+    assert {r.doc_id for r in line_dedup.cut(docs, least_words=50, least_share=0.6).collect()} == {0, 1, 2, 5, 6, 7, 8}
 
 
 def test_all_that_came_before_goes(spark):
