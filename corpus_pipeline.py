@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages of 50 words or more that an earlier document has; documents of which nothing is left go."""
-    return recounted(line_dedup.cut(docs))
+    """Cuts runs of three lines and passages of 50 words that came before. Documents go that keep fewer words than the quality rules ask for and less than a fifth of their own: what is left of near-copies is scraps."""
+    return recounted(line_dedup.cut(docs, least_words=50, least_share=0.2))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
