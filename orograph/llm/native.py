@@ -35,7 +35,7 @@ def space_word_count(text: Column) -> Column:
 
 def count_of(text: Column, chars: str) -> Column:
     """How many of these characters the text has."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+    return F.regexp_count(text, F.lit("[" + "".join(c if c.isalnum() else f"\\{c}" for c in chars) + "]"))
 
 
 def total(numbers: Column) -> Column:

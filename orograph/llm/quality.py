@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .native import SPACES, count_of, let, space_words, total
+from .native import SPACES, count_of, let, space_word_count, space_words, total
 from .words import fresh
 
 SYMBOLS = "#*$%&|<>"
@@ -69,12 +71,8 @@ def line_fails(line: Column, n: Column, *, min_words: int, link_share: float, sy
     symbols = count_of(line, SYMBOLS) > symbol_share * F.length(line)
     links = count_of(line, LINKS)
     navigation = (links >= 3) & (links > link_share * n)
-    low = F.lower(line)
-    furniture = n <= 40
-    phrase = F.lit(False)
-    for x in FURNITURE:
-        phrase = phrase | low.contains(x)
-    return bare | symbols | navigation | (furniture & phrase)
+    furniture = (n <= 40) & let(F.lower(line), lambda low: reduce(lambda a, b: a | b, (low.contains(x) for x in FURNITURE)))
+    return bare | symbols | navigation | furniture
 
 
 def measured(docs: DataFrame, *, text: str = "text", min_words: int = 50, max_repeat: float = 0.5, max_lost: float = 0.5, line_words: int = 5, link_share: float = 0.2, symbol_share: float = 0.1) -> DataFrame:
@@ -109,7 +107,7 @@ def measured(docs: DataFrame, *, text: str = "text", min_words: int = 50, max_re
             ),
         )
 
-    lines = F.transform(F.split(whole, "\n"), lambda x: F.struct(x.alias("line"), F.size(space_words(x)).alias("n")))
+    lines = F.transform(F.split(whole, "\n"), lambda x: F.struct(x.alias("line"), space_word_count(x).cast("int").alias("n")))
     (made,) = fresh(docs, "made")
     found = docs.select(*(docs[c] for c in own), F.struct(let(space_words(whole), of_words).alias("w"), let(lines, of_lines).alias("l")).alias(made))
     bad = (F.col("n_words") < min_words) | (F.lit(100) * F.col("n_repeat_words") > F.lit(int(round(100 * max_repeat))) * F.col("n_words"))
