@@ -19,7 +19,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # large star: the larger neighbours of u, on the smallest of u and its neighbours
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # kept apart from the join, so that the rows of a hub can be split
+        least = materialised(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         now = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: u and its smaller neighbours, on the smallest of them
         least = now.groupBy("u").agg(F.min("v").alias("m"))
