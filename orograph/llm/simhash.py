@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from .components import components
 from .shared import materialised
-from .words import LOWER, fresh, map_texts, numbers, rolling, words
+from .words import LOWER, distinct, fresh, map_texts, numbers, rolling, words
 
 #: Rows of a tile: a task compares one tile with itself or one other.
 TILE = 2048
@@ -55,7 +55,7 @@ def fingerprint(text: bytes, shingle: int, parts: int = 1) -> np.ndarray:
 def shingles(text: bytes, shingle: int) -> np.ndarray:
     """Sorted distinct hashes (64 bits) of a text's runs of words; of a shorter text one, of all its words; none without words."""
     hashes = numbers([text], LOWER, xxhash.xxh64_intdigest, np.uint64)[0]
-    return np.unique(rolling(hashes, min(shingle, len(hashes)))) if len(hashes) else hashes
+    return distinct(rolling(hashes, min(shingle, len(hashes)))) if len(hashes) else hashes
 
 
 def sketch(own: np.ndarray, parts: int) -> list:

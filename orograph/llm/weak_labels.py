@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import ALNUM, Hashes, fresh, map_texts, numbers
+from .words import ALNUM, Hashes, distinct, fresh, map_texts, numbers
 
 #: Words of abuse.
 ABUSE = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
@@ -29,6 +29,9 @@ STEM = 5
 class Marked(Hashes):
     """Word to its XXH64, the lowest bit of which says whether the word has one or two bytes."""
 
+    def __init__(self, most: int = 500_000):
+        super().__init__(most)
+
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
             self.clear()
@@ -88,10 +91,10 @@ class Features:
         self.rows = len(texts)
         row = np.repeat(np.arange(self.rows), np.diff(ends))
         self.abuse = np.bincount(row, found >> 48, self.rows).astype(np.int64)
-        self.words, self.stems = np.unique(row << 24 | found & 0xFFFFFF), np.unique(row << 24 | found >> 24 & 0xFFFFFF)
+        self.words, self.stems = distinct(row << 24 | found & 0xFFFFFF), distinct(row << 24 | found >> 24 & 0xFFFFFF)
 
     def both(self) -> np.ndarray:
-        return np.union1d(self.words, self.stems)
+        return distinct(np.concatenate([self.words, self.stems]))
 
     def lists(self, pairs: np.ndarray) -> list[np.ndarray]:
         """The buckets of each row."""
