@@ -59,7 +59,7 @@ def assign(docs: DataFrame, shards: int, *, key: str = "doc_id", text: str = "te
     With slack 0 the shards' row counts differ by one at most; a larger slack moves fewer keys when shards are added. Keys of one arc are
     ranked by their place on the ring; what a full shard can't take is a range of ranks, so that equal keys and hot arcs are split where
     they must be. slot counts the rows of a shard from 0. size: UTF-8 bytes and 1 (null: 1). The text's crc32 is null for null.
-    Null keys share one place on the ring; rows that repeat each get a slot. No rows: no shards.
+    Null keys share one place on the ring; rows that repeat each get a slot. No rows: no shards. Texts may have any length; columns but key and text aren't looked at, whatever their names.
 
     Only key, size and checksum are kept (in the shared folder), dealt out in ring order; the driver gets a row for each arc and
     one for each partition and arc that meet: partitions + arcs at most."""

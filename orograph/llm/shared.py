@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import gc
+import re
 import shutil
 import tempfile
 import uuid
@@ -53,8 +54,10 @@ class Folder:
     """A folder of array files below the shared one: written and read by tasks, each file whole or not at all."""
 
     def __init__(self, spark: SparkSession, name: str):
-        base = shared_dir(spark)
-        self.uri = f"{base if '://' in base or base.startswith('file:') else 'file://' + base}/{name}-{uuid.uuid4().hex}".replace("file:///", "file:/").replace("file:/", "file:///")
+        # a path without a scheme lies in the cluster's default store, as it does for checkpoints
+        base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+        whole = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(base).toString()
+        self.uri = re.sub("^file:/+", "file:///", f"{whole}/{name}-{uuid.uuid4().hex}")
         atexit.register(self.delete)
 
     def _fs(self):
@@ -102,6 +105,12 @@ class Folder:
         return out
 
     def delete(self) -> None:
-        fs, path = self._fs()
-        with contextlib.suppress(OSError):
-            fs.delete_dir(path)
+        """By Spark's own access to the store, while there is a session, else by Arrow's."""
+        try:
+            context = SparkSession.getActiveSession().sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(self.uri)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # noqa: BLE001  the session or its JVM may be gone at the driver's end
+            with contextlib.suppress(Exception):
+                fs, path = self._fs()
+                fs.delete_dir(path)

@@ -345,7 +345,7 @@ def grouped(docs: DataFrame, *, radius: int = 2, shingle: int = 3, parts: int =
     and more parts or a larger radius in tiles of everything.
     Texts are read once; fingerprints, links and rounds of components are kept in the shared folder. Equal fingerprints are one node, so
     copies cost nothing beyond their row. Null docs belong to groups but name none, unless a group has nothing else (then null). Null and
-    empty texts share fingerprint 0, which links like any other. Repeated rows stay. No rows: no rows."""
+    empty texts share fingerprint 0, which links like any other. Texts of any length are taken whole. Repeated rows stay. No rows: no rows. Other columns aren't looked at, whatever their names."""
     columns = names(parts)
     if similarity is None:
         slim = materialised(fingerprints(docs.select(F.col(doc), F.col(text), *more), shingle=shingle, parts=parts, text=text).drop(text))
