@@ -148,7 +148,8 @@ def within(rows: DataFrame, bucket: list[str], columns: list[str], radius: int,
     rows = rows.withColumn("pop", pop)
     # one row for a bucket and count: how many tiles it needs; buckets of a single row go
     sizes = rows.groupBy(*bucket, "pop").agg(F.count("*").alias("n"))
-    tall = sizes.groupBy(*bucket).agg(F.sum("n").alias("rows"), F.map_from_entries(F.collect_list(F.struct("pop", F.ceil(F.col("n") / tile).cast("int").alias("t")))).alias("tiles")).where("rows > 1")
+    # kept apart from the join, so that the rows of a large bucket can be split
+    tall = materialised(sizes.groupBy(*bucket).agg(F.sum("n").alias("rows"), F.map_from_entries(F.collect_list(F.struct("pop", F.ceil(F.col("n") / tile).cast("int").alias("t")))).alias("tiles")).where("rows > 1"))
     small = F.col("rows") <= tile
     own = F.when(small, F.lit(0)).otherwise(F.pmod(F.xxhash64(*columns), F.element_at("tiles", F.col("pop"))).cast("int"))
     placed = rows.join(tall, bucket).withColumn("own", own)

@@ -457,7 +457,7 @@ def test_pages_of_odd_kinds(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id int, url string"), none).count() == 0
     long = "http://a.b.gov.br/" + "x/" * 200_000
     pages = clashing(spark.createDataFrame([(1, long), (1, long), (2, None), (2, None)], "page_id int, url string"), "_parsed", "_u", "n", "bad", "mean", "var", "domain", "parent")
-    found = url_filter.judge(pages, spark.createDataFrame([(long, 1)] * 40 + [(long, None)], "url string, bad int"))
+    found = url_filter.judge(pages, spark.createDataFrame([(long, 1)] * 40 + [(long, None)] + [("http://fine.org/", 0)] * 400, "url string, bad int"))
     assert found.columns == [*pages.columns, "host", "path", "rule", "bad_rate", "bound", "verdict"]
     assert Counter((r.page_id, r.host, r.verdict, r._u, r["var"]) for r in found.collect()) == {(1, "a.b.gov.br", "block", "own", "own"): 2, (2, "", "allow", "own", "own"): 2}
 
