@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cells import quoted
@@ -22,12 +22,14 @@ def target_grid(west: float, south: float, east: float, north: float, epsg: int,
 
 #: Names of the methods, as raster tools have them, and how many source cells each weighs along a side.
 METHODS = {"near": 1, "bilinear": 2, "cubic": 4, "cubicspline": 4, "lanczos": 6}
+#: Names of the methods that take all source cells below a target cell.
+AREAS = ("average", "mode", "min", "max")
 
 
 def taps(u: str, method: str) -> tuple[str, list[str]]:
     """As SQL: first source cell, and the weights of the cells from there on in t, for a position u in cells (a cell's middle is at its number and a half). t is how far the position is past the middle of the last of the first half of these cells."""
     if method not in METHODS:
-        raise ValueError(f"resampling is one of {', '.join(METHODS)}, not {method}")
+        raise ValueError(f"resampling is one of {', '.join([*METHODS, *AREAS])}, not {method}")
     if method == "near":
         return f"cast(floor({u}) as int)", ["1D"]
     weights = {
@@ -84,15 +86,40 @@ def resampled(source: DataFrame, target: DataFrame, method: str = "cubic", value
     return sums.selectExpr("r", "c", f"case when some and abs(w) > 1e-9 then s / w end as {quoted(value)}")
 
 
-def positions(grid: Grid, cells: DataFrame, source: Grid) -> DataFrame:
-    """target(r, c, u, v) of a grid's cells over a source grid in degrees; rounded to a millionth of a cell, so that positions on cell borders don't hang on the last bit."""
-    x, y = grid.x(F.col("c")), grid.y(F.col("r"))
-    lon, lat = from_system(x, y, grid.epsg)
-    return cells.select("r", "c", F.round((lon - source.x0) / source.res, 6).alias("u"), F.round((source.y0 - lat) / source.res, 6).alias("v"))
+def covered(source: DataFrame, target: DataFrame, method: str, value: str = "z") -> DataFrame:
+    """(r, c, value) of target(r, c, u, v, du, dv), whose cells are boxes of du by dv source cells around u, v: the average weighed by area, the value of most area (the least of several), the
+    least or the largest, of source cells with a value that the box meets; null without one. One equi-join of boxes' places with source cells, then sums for each target cell."""
+    boxes = target.selectExpr("r", "c", "u - du / 2 as u0", "u + du / 2 as u1", "v - dv / 2 as v0", "v + dv / 2 as v1")
+    rows = boxes.selectExpr("*", "explode(sequence(cast(floor(v0) as int), cast(greatest(floor(v0), ceil(v1) - 1) as int))) as sr")
+    places = rows.selectExpr("*", "explode(sequence(cast(floor(u0) as int), cast(greatest(floor(u0), ceil(u1) - 1) as int))) as sc")
+    places = places.selectExpr("r", "c", "sr", "sc", "(least(u1, sc + 1D) - greatest(u0, cast(sc as double))) * (least(v1, sr + 1D) - greatest(v0, cast(sr as double))) as w")
+    cells = source.where(F.col(value).isNotNull()).select(F.col("r").alias("sr"), F.col("c").alias("sc"), F.col(value).cast("double").alias("z"))
+    met = places.join(cells, ["sr", "sc"], "left").selectExpr("r", "c", "if(w > 1e-9, z, null) as z", "w")
+    if method == "mode":
+        by_value = met.groupBy("r", "c", "z").agg(F.sum("w").alias("w"))
+        found = F.expr("max_by(z, if(z is null, null, struct(round(w, 9) as w, -z as z)))")
+        return by_value.groupBy("r", "c").agg(found.alias(value))
+    found = {"average": "sum(w * z) / sum(if(z is null, null, w))", "min": "min(z)", "max": "max(z)"}[method]
+    return met.groupBy("r", "c").agg(F.expr(found).alias(value))
+
+
+def positions(grid: Grid, cells: DataFrame, source: Grid, sizes: bool = False) -> DataFrame:
+    """target(r, c, u, v) of a grid's cells over a source grid in degrees; rounded to a millionth of a cell, so that positions on cell borders don't hang on the last bit. sizes: also du, dv, a cell's width and height in source cells, through its middle."""
+
+    def place(across: float, down: float) -> tuple[Column, Column]:
+        lon, lat = from_system(grid.x(F.col("c") + across), grid.y(F.col("r") + down), grid.epsg)
+        return F.round((lon - source.x0) / source.res, 6), F.round((source.y0 - lat) / source.res, 6)
+
+    u, v = place(0, 0)
+    made = {"u": u, "v": v}
+    if sizes:
+        made |= {"du": F.abs(place(0.5, 0)[0] - place(-0.5, 0)[0]), "dv": F.abs(place(0, 0.5)[1] - place(0, -0.5)[1])}
+    return cells.select("r", "c", *(x.alias(n) for n, x in made.items()))
 
 
 def mosaic_and_warp(tiles: DataFrame, source: Grid, epsg: int, res: float, method: str = "cubic", value: str = "z") -> tuple[DataFrame, Grid]:
     """tiles(r, c, ordinal, value) of one grid in degrees, laid over each other and brought onto the grid of a system (UTM on WGS84, 3857, 4326) that covers them."""
     south, east = source.y0 - source.nrows * source.res, source.x0 + source.ncols * source.res
     grid = target_grid(source.x0, south, east, source.y0, epsg, res)
-    return resampled(mosaic(tiles, F.col("ordinal"), value), positions(grid, grid.cells(tiles.sparkSession), source), method, value), grid
+    laid, target = mosaic(tiles, F.col("ordinal"), value), positions(grid, grid.cells(tiles.sparkSession), source, method in AREAS)
+    return (covered if method in AREAS else resampled)(laid, target, method, value), grid

@@ -407,6 +407,37 @@ def resample_lanczos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(spark, sf_dir, "lanczos")
 
 
+def covered_sql(found: str) -> str:
+    """Source cells that meet boxes of 2.5 by 3.25 cells, with the area they share; the values are cut to tens, so that some are equal."""
+    return f"""with {EMB}, boxes as (select r, c, (c + 0.5::double) * 2.5::double + 1 - 1.25::double as u0, (r + 0.5::double) * 3.25::double - 2 - 1.625::double as v0 from emb where c < 30 and r % 3 = 0),
+  places as (select *, unnest(range(floor(v0)::int, ceil(v0 + 3.25::double)::int))::int as sr from (select *, unnest(range(floor(u0)::int, ceil(u0 + 2.5::double)::int))::int as sc from boxes)),
+  met as (select p.r, p.c, floor(e.z / 1000.0)::double as z, (least(u0 + 2.5::double, sc + 1) - greatest(u0, sc)) * (least(v0 + 3.25::double, sr + 1) - greatest(v0, sr)) as w
+    from places p left join emb e on e.r = sr and e.c = sc) {found}"""
+
+
+def covered(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+    cells_ = emb(spark, sf_dir)
+    boxes = cells_.where("c < 30 and r % 3 = 0").selectExpr("r", "c", "(c + 0.5D) * 2.5D + 1 as u", "(r + 0.5D) * 3.25D - 2 as v", "2.5D as du", "3.25D as dv")
+    found = warp.covered(cells_.withColumn("z", F.floor(F.col("z") / 1000)), boxes, method)
+    return found.withColumn("z", F.round("z", 6))
+
+
+@query(covered_sql("select r, c, round(sum(w * z) / sum(w) filter (where z is not null), 6) as z from met group by r, c"))
+def resample_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covered(spark, sf_dir, "average")
+
+
+@query(covered_sql(""", sums as (select r, c, z, round(sum(w), 9) as w from met group by r, c, z)
+  select r, c, z from (select r, c, z, row_number() over (partition by r, c order by z is null, w desc, z) as k from sums) where k = 1"""))
+def resample_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covered(spark, sf_dir, "mode")
+
+
+@query(covered_sql("select r, c, min(z) as z from met group by r, c"))
+def resample_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covered(spark, sf_dir, "min")
+
+
 #: The embeddings' grid as two tiles that share columns, laid in degrees; its target in UTM.
 RES_DEGREES, RES_METRES, EPSG = 1 / 256, 500.0, 32722
 

@@ -84,9 +84,42 @@ def test_resampling_against_brute_force(spark, monkeypatch, method, side):
             assert found[i] == pytest.approx(sum(w * z[k] for k, w in have.items()) / sum(have.values()), abs=1e-6)
 
 
+@pytest.mark.parametrize("method", warp.AREAS)
+def test_areas_against_brute_force(spark, method):
+    rng = np.random.default_rng(4)
+    z = rng.integers(0, 4, (9, 8)).astype(float)
+    z[rng.random(z.shape) < 0.3] = np.nan
+    source = spark.createDataFrame([(r, c, None if np.isnan(z[r, c]) else float(z[r, c])) for r in range(9) for c in range(8)], "r int, c int, z double")
+    at = [(i, 0, *(float(round(x, 3)) for x in (u, v, du, dv))) for i, (u, v, du, dv) in enumerate(zip(rng.uniform(-2, 10, 60), rng.uniform(-2, 11, 60), rng.uniform(0.3, 4, 60), rng.uniform(0.3, 4, 60)))]
+    at += [(60, 0, 2.0, 2.0, 2.0, 2.0), (61, 0, 2.5, 2.5, 1.0, 1.0)]
+    found = {r.r: r.z for r in warp.covered(source, spark.createDataFrame(at, "r int, c int, u double, v double, du double, dv double"), method).collect()}
+    assert len(found) == 62
+    for i, _, u, v, du, dv in at:
+        weights = {}
+        for r in range(9):
+            for c in range(8):
+                w = max(0.0, min(u + du / 2, c + 1) - max(u - du / 2, c)) * max(0.0, min(v + dv / 2, r + 1) - max(v - dv / 2, r))
+                if w > 1e-9 and not np.isnan(z[r, c]):
+                    weights[z[r, c]] = weights.get(z[r, c], 0) + w
+        if not weights:
+            assert found[i] is None
+        elif method == "average":
+            assert found[i] == pytest.approx(sum(k * w for k, w in weights.items()) / sum(weights.values()))
+        else:
+            assert found[i] == {"min": min(weights), "max": max(weights), "mode": min(weights, key=lambda k: (-round(weights[k], 9), k))}[method]
+
+
+def test_coarse_cells_take_averages(spark):
+    source = Grid(4326, -50.0, -25.0, 0.01, 40, 40)
+    tiles = spark.range(1600).select(F.floor(F.col("id") / 40).cast("int").alias("r"), (F.col("id") % 40).cast("int").alias("c"), F.lit(0).alias("ordinal"), (F.col("id") % 2).cast("double").alias("z"))
+    found, g = warp.mosaic_and_warp(tiles, source, 32722, 8000.0, "average")
+    inside = found.join(warp.positions(g, g.cells(spark), source), ["r", "c"]).where("u between 5 and 35 and v between 5 and 35")
+    assert inside.count() > 5 and inside.where("abs(z - 0.5) > 0.1").isEmpty()
+
+
 def test_other_methods_are_refused():
     with pytest.raises(ValueError):
-        warp.taps("u", "mode")
+        warp.taps("u", "median")
 
 
 @pytest.mark.parametrize("epsg", [32722, 3857])
