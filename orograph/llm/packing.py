@@ -20,6 +20,7 @@ from .words import LOWER, fresh, slices, small_batches, texts_of, words
 
 #: Letters that normalisation at most lower-cases, then marks that are a piece of their own.
 PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:;=-@\[-`{-~]*)")
+MARKS = frozenset(bytes([b]) for b in range(33, 127) if PLAIN.fullmatch(b"a" + bytes([b])) and not bytes([b]).isalpha())
 CAPITAL = re.compile(rb"\xc3[\x80-\x96\x98-\x9e]")
 #: Bytes of such letters, and a table that marks a word's last byte by a byte that no such letter has.
 WITHIN = bytes(range(97, 123)) + bytes(range(0x80, 0xC0)) + b"\xc3"
@@ -69,6 +70,9 @@ class Ids(dict):
     def slow(self, word: bytes) -> list[int]:
         return [t.id for t in self.model.tokenize(word.decode("latin-1").translate(self.spelled))]
 
+    def letters(self, word: bytes) -> bytes:
+        return array("I", self.piece(word[:-1] + word[-1:].translate(LAST)) if self.piece else self.slow(word)).tobytes()
+
     def whole(self, text: str) -> bytes:
         return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -78,6 +82,10 @@ class Ids(dict):
             self.clear()
         if (ids := self.before.get(word)) is not None:
             pass
+        elif word.isalpha() and word.islower():  # letters from a to z, most words: no pattern is needed
+            ids = self.letters(word)
+        elif word[-1:] in MARKS and word[:-1].isalpha() and word.islower():
+            ids = self[word[:-1]] + (self.get(word[-1:]) or self.whole(word[-1:].decode()))
         elif not (m := PLAIN.fullmatch(word)):
             ids = self.whole(word.decode("utf-8", "replace"))
         elif CAPITAL.search(word):
@@ -85,7 +93,7 @@ class Ids(dict):
         elif m[2]:
             ids = self[m[1]] + (self.get(m[2]) or self.whole(m[2].decode()))
         else:
-            ids = array("I", self.piece(word[:-1] + word[-1:].translate(LAST)) if self.piece else self.slow(word)).tobytes()
+            ids = self.letters(word)
         self[word] = ids
         return ids
 
