@@ -91,14 +91,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_kneser_ney")
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .kneser_ney import train
-    from .shared import materialised
-
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2)
-    model = train(docs.where(~F.col("held_out")))
-    scored = materialised(model.score(docs, keep=["doc_id", "held_out"]))
-    model.delete()
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.vocabulary.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+    from .kneser_ney_corpus import score_corpus
+
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out).withColumn("learned", ~held_out)
+    scored, tokens = score_corpus(docs, "learned", order=5, keep=["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
 
 
 @query("op3_line_dedup")
